@@ -20,18 +20,19 @@ def views(sf_dir):
     return con
 
 
+def _value(v):
+    """Cell as comparable text: missing values alike, whole and broken numbers alike."""
+    if v is None or pd.isna(v):
+        return "null"
+    if isinstance(v, (int, float)) or hasattr(v, "dtype"):
+        return repr(float(v))
+    return str(v)
+
+
 def _plain(frame):
-    """Frame with columns and rows in a fixed order and comparable values."""
+    """Columns in name order and rows sorted, as lists of text."""
     frame = frame[sorted(frame.columns)].astype(object)
-    frame = frame.map(
-        lambda v: None
-        if v is None or v is pd.NaT or v != v
-        else float(v)
-        if isinstance(v, (int, float)) or hasattr(v, "dtype")
-        else str(v)
-    )
-    order = frame.astype(str).agg("\x1f".join, axis=1).sort_values(kind="stable").index
-    return frame.loc[order].reset_index(drop=True)
+    return sorted([_value(v) for v in row] for row in frame.itertuples(index=False, name=None))
 
 
 def differences(spark, con, name, sf_dir):
@@ -45,12 +46,12 @@ def differences(spark, con, name, sf_dir):
         return len(mine), f"columns {sorted(set(mine.columns) ^ set(other.columns))}"
     if len(mine) != len(other):
         return len(mine), f"{len(mine)} rows against {len(other)}"
-    mine, other = _plain(mine), _plain(other)
-    for column in mine.columns:
-        both = zip(mine[column], other[column])
-        bad = [(a, b) for a, b in both if a != b and not (a is None and b is None)]
-        if bad:
-            return len(mine), f"{column}: {len(bad)} values, first {str(bad[0])[:300]}"
+    names = sorted(mine.columns)
+    rows = zip(_plain(mine), _plain(other))
+    bad = [(a, b) for a, b in rows if a != b]
+    if bad:
+        cells = [(n, a, b) for n, a, b in zip(names, *bad[0]) if a != b]
+        return len(mine), f"{len(bad)} rows, first {str(cells)[:400]}"
     return len(mine), None
 
 

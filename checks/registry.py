@@ -10,8 +10,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from replycast.functions import html, scalars, words
-from replycast.functions.pos import COUNTED, pos_counter
-from replycast.functions.stem import distinct_stems
+from replycast.functions.pos import COUNTED
 from replycast.operators import answers, forums, nlp, tags, users, votes
 from replycast.plans import explore, features, model, scoring, snapshot
 from replycast.plans.names import STATUS_NAMES, HISTORY_NAMES, TARGET, TARGETS
@@ -150,7 +149,8 @@ def pending_files(spark, sf_dir):
     t = tables(spark, sf_dir)
     name = F.concat("c_name", F.lit(".7z")).alias("file_name")
     people = t("customer").select("c_custkey", name, (F.col("c_custkey") + 1000).alias("size"))
-    there = t("orders").select(F.col("o_custkey").alias("c_custkey")).join(people, "c_custkey")
+    urgent = t("orders").where(F.col("o_orderpriority") == "1-URGENT")
+    there = urgent.select(F.col("o_custkey").alias("c_custkey")).join(people, "c_custkey")
     return manifest.pending_files(people.drop("c_custkey"), there)
 
 
@@ -239,25 +239,26 @@ def sentence_counts(spark, sf_dir):
     return _documents(spark, sf_dir, n_sentences=words.sentence_count(F.col("text")))
 
 
+def _profiled(spark, sf_dir):
+    return nlp.text_features(_documents(spark, sf_dir, text=F.col("text")), "text", "text")
+
+
 def stem_features(spark, sf_dir):
-    stems = distinct_stems(words.content_words(F.col("text")))
-    found = _documents(spark, sf_dir, s=stems)
-    return found.select(
+    return _profiled(spark, sf_dir).select(
         "doc_id",
-        F.size("s").alias("n_distinct_stems"),
-        F.array_join(F.array_sort("s"), " ").alias("stems"),
+        F.col("text_n_distinct_words").alias("n_distinct_stems"),
+        F.array_join(F.array_sort("text_stems"), " ").alias("stems"),
     )
 
 
 def pos_features(spark, sf_dir):
-    found = _documents(spark, sf_dir, w=words.tokens(F.col("text")))
-    found = found.withColumn("c", pos_counter()(F.col("w")))
-    return found.select(
+    words_of = F.col("text_n_words")
+    return _profiled(spark, sf_dir).select(
         "doc_id",
-        F.size("w").alias("n_words"),
-        *[F.col("c")[name].alias(f"n_{name}") for name in COUNTED],
+        words_of.alias("n_words"),
+        *[F.col(f"text_n_{name}").alias(f"n_{name}") for name in COUNTED],
         *[
-            scalars.pos_share(F.col("c")[name], F.size("w")).alias(f"{name}_share")
+            scalars.pos_share(F.col(f"text_n_{name}"), words_of).alias(f"{name}_share")
             for name in COUNTED
         ],
     )

@@ -8,8 +8,8 @@ CODE_BLOCK = r"(?s)<code>.*?</code>"
 
 
 def _plain(col):
-    one_line = F.regexp_replace(F.regexp_replace(col, TAG, ""), "\n", " ")
-    return F.trim(F.regexp_replace(one_line, " +", " "))
+    one_line = F.replace(F.regexp_replace(col, TAG, ""), F.lit("\n"), F.lit(" "))
+    return F.trim(F.regexp_replace(one_line, "  +", " "))
 
 
 def clean_html(col):
@@ -31,13 +31,12 @@ def body_lengths(df, body="body"):
     """Add cleaned texts, their lengths and the share of code (null for an empty body)."""
     clean_len = F.col("body_n_characters")
     nocode_len = F.col("body_nocode_n_characters")
+    without_code = F.when(
+        F.contains(F.col(body), F.lit("<code>")), clean_html_nocode(F.col(body))
+    )
     return (
-        df.withColumns(
-            {
-                "body_clean": clean_html(F.col(body)),
-                "body_clean_nocode": clean_html_nocode(F.col(body)),
-            }
-        )
+        df.withColumn("body_clean", clean_html(F.col(body)))
+        .withColumn("body_clean_nocode", without_code.otherwise(F.col("body_clean")))
         .withColumns(
             {
                 "body_n_characters": F.length("body_clean"),

@@ -1,16 +1,10 @@
-"""Part-of-speech counts of token arrays, by word list and suffix (no sentence context).
+"""Word class of one word, by word list and suffix (no sentence context).
 
-Tags follow the Penn Treebank names; the counts use their prefixes V, N, PR, J and RB.
+Tags follow the Penn Treebank names; counts use their prefixes V, N, PR, J and RB.
 """
 
 import re
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 # Closed word classes and frequent words of English.
 WORD_TAGS = {
     "PRP": "i me myself we us ourselves you yourself he him himself she her herself it itself "
@@ -44,7 +38,6 @@ SUFFIX_TAGS = (
 DEFAULT_TAG = "NN"
 
 COUNTED = {"verbs": "V", "nouns": "N", "pronouns": "PR", "adjectives": "J", "adverbs": "RB"}
-COUNTS = T.StructType([T.StructField(name, T.IntegerType()) for name in COUNTED])
 
 _KNOWN = {word: tag for tag, words in WORD_TAGS.items() for word in words.split()}
 _RULES = [(re.compile(pattern), tag) for pattern, tag in SUFFIX_TAGS]
@@ -68,26 +61,3 @@ def read_lexicon(table, max_words=200_000):
     if len(rows) > max_words:
         raise ValueError(f"lexicon has more than {max_words} words")
     return {row.token.lower(): row.tag for row in rows}
-
-
-def pos_counter(lexicon=None):
-    """Column function: token array to a struct with one count per word class."""
-
-    @F.arrow_udf(COUNTS)
-    def pos_counts(words: pa.Array) -> pa.Array:
-        flat = pc.list_flatten(words).dictionary_encode()
-        tags = [tag_word(w, lexicon) for w in flat.dictionary.to_pylist()]
-        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
-        row_of = np.repeat(np.arange(len(words)), sizes)
-        word_of = flat.indices.to_numpy(zero_copy_only=False)
-        counts = []
-        for prefix in COUNTED.values():
-            hit = np.array([tag.startswith(prefix) for tag in tags], dtype=np.int64)
-            # bincount with weights adds up the hits of each row
-            per_row = np.bincount(row_of, weights=hit[word_of], minlength=len(words)) if tags else (
-                np.zeros(len(words))
-            )
-            counts.append(pa.array(per_row.astype(np.int32)))
-        return pa.StructArray.from_arrays(counts, fields=[pa.field(n, pa.int32()) for n in COUNTED])
-
-    return pos_counts

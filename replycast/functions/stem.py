@@ -1,13 +1,4 @@
-"""Porter stems of token arrays.
-
-The word list of an Arrow batch is reduced to its distinct words first, so the Python stemmer
-runs once per distinct word and batch, and no word is shuffled.
-"""
-
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+"""Porter stem of one word."""
 
 # Suffix rules of the published Porter algorithm.
 STEP_2 = {
@@ -24,6 +15,8 @@ STEP_4 = (
     "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+_STEP_4 = frozenset(STEP_4)
+
 
 def _shape(word):
     """One letter per character: v for a vowel, c for a consonant."""
@@ -47,8 +40,11 @@ def _short_end(word):
 
 
 def _longest(word, suffixes):
-    found = [s for s in suffixes if word.endswith(s)]
-    return max(found, key=len) if found else None
+    """Longest of the suffixes (2 to 7 letters) that the word ends in."""
+    for n in range(min(7, len(word)), 1, -1):
+        if word[-n:] in suffixes:
+            return word[-n:]
+    return None
 
 
 def _plural(word):
@@ -80,7 +76,7 @@ def _mapped(word, rules):
 
 
 def _dropped(word):
-    suffix = _longest(word, STEP_4)
+    suffix = _longest(word, _STEP_4)
     if suffix is None:
         return word
     rest = word[: -len(suffix)]
@@ -108,20 +104,3 @@ def porter(word):
     if word.endswith("y") and "v" in _shape(word[:-1]):
         word = word[:-1] + "i"
     return _final(_dropped(_mapped(_mapped(word, STEP_2), STEP_3)))
-
-
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def stems(words: pa.Array) -> pa.Array:
-    """Stem of every word of an array column; a null array stays null."""
-    flat = pc.list_flatten(words).dictionary_encode()
-    stemmed = pa.array([porter(w) for w in flat.dictionary.to_pylist()], pa.string())
-    sizes = pc.fill_null(pc.list_value_length(words), 0)
-    ends = pc.cumulative_sum(sizes.cast(pa.int32()))
-    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-    return pa.ListArray.from_arrays(
-        offsets, stemmed.take(flat.indices), mask=pc.is_null(words)
-    )
-
-
-def distinct_stems(words):
-    return F.array_distinct(stems(words))

@@ -5,9 +5,10 @@ from functools import lru_cache
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
-BLANK = r" \t\r\n\f"
-NOT_WORD = r"[^A-Za-z0-9'" + BLANK + "]"
-SENTENCE_END = r"[.!?]+(?:[" + BLANK + r"]+|$)"
+# Everything but letters, digits, apostrophes and white space. Written as an intersection, which
+# Java matches about ten times faster than the same set as one negated list of ranges.
+NOT_WORD = r"[\W_&&[^'\s]]"
+SENTENCE_END = r"[.!?]+(?:\s+|$)"
 
 
 def sentence_count(text):
@@ -16,13 +17,23 @@ def sentence_count(text):
     return F.coalesce(F.size(F.array_remove(pieces, "")), F.lit(0))
 
 
-def tokens(text):
-    """Words split at white space, reduced to letters, digits and apostrophes.
+def word_text(text):
+    """Text reduced to letters, digits, apostrophes and white space.
 
     The strip runs once over the whole text, so no lambda is called per word.
     """
-    words = F.split(F.regexp_replace(text, NOT_WORD, ""), f"[{BLANK}]+")
-    return F.coalesce(F.array_remove(words, ""), F.array().cast("array<string>"))
+    return F.regexp_replace(text, NOT_WORD, "")
+
+
+def split_words(kept):
+    """Words of a `word_text`; none for a missing text."""
+    found = F.array_remove(F.split(kept, r"\s+"), "")
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def tokens(text):
+    """Words split at white space, reduced to letters, digits and apostrophes."""
+    return split_words(word_text(text))
 
 
 def token_count(words):
@@ -38,9 +49,3 @@ def without_stop_words(words):
     """Tokens that are no stop words, ignoring case; order and repeats are kept."""
     stops = list(stop_words())
     return F.filter(words, lambda w: ~F.lower(w).isin(stops))
-
-
-def content_words(text):
-    """Distinct lower-case tokens of a text that are no stop words."""
-    stops = F.array(*[F.lit(w) for w in stop_words()])
-    return F.array_except(tokens(F.lower(text)), stops)

@@ -1,47 +1,39 @@
-"""Word-level features of a text column."""
+"""Word-level features of text columns, computed row by row where the text lies."""
 
 from pyspark.sql import functions as F
 
 from ..functions.html import clean_html_nocode
-from ..functions.pos import COUNTED, pos_counter
-from ..functions.scalars import title_in_body
-from ..functions.stem import distinct_stems
-from ..functions.words import content_words, sentence_count, tokens
+from ..functions.profile import NAMES, pair_profile, word_profile
+from ..functions.words import sentence_count, word_text
 from .votes import KEY, questions_of
 
 
-def text_features(df, text_col, prefix, lexicon=None, sentences=False):
-    """Add word, distinct-stem and word-class counts of a text, and its distinct stems.
-
-    Everything is computed row by row where the text lies; nothing is shuffled.
-    """
+def text_features(df, text_col, prefix, lexicon=None):
+    """Add sentence, word, distinct-stem and word-class counts of a text, and its stems."""
     text = F.col(text_col)
-    words, classes, stems = f"_{prefix}_words", f"_{prefix}_pos", f"{prefix}_stems"
-    if sentences:
-        df = df.withColumn(f"{prefix}_n_sentences", sentence_count(text))
-    df = df.withColumn(words, tokens(text)).withColumns(
-        {
-            classes: pos_counter(lexicon)(F.col(words)),
-            stems: distinct_stems(F.coalesce(content_words(text), F.array())),
-        }
-    )
-    counts = {f"{prefix}_n_{name}": F.col(classes)[name] for name in COUNTED}
-    return df.withColumns(
+    counted = df.withColumn("_profile", word_profile(lexicon)(word_text(text)))
+    return counted.withColumns(
         {
-            f"{prefix}_n_words": F.size(words),
-            f"{prefix}_n_distinct_words": F.size(stems),
-            **counts,
+            f"{prefix}_n_sentences": sentence_count(text),
+            **{f"{prefix}_n_{name}": F.col("_profile")[name] for name in NAMES},
+            f"{prefix}_stems": F.col("_profile.stems"),
         }
-    ).drop(words, classes)
+    ).drop("_profile")
 
 
 def with_nlp(df, body="body_clean_nocode", title="title", lexicon=None):
     """Add the word features of body and title, and the share of title stems in the body."""
-    both = text_features(
-        text_features(df, body, "body", lexicon, sentences=True), title, "title", lexicon
-    )
-    shared = title_in_body(F.col("title_stems"), F.col("body_stems"))
-    return both.withColumn("title_in_body_perc", shared).drop("body_stems", "title_stems")
+    texts = word_text(F.col(body)), word_text(F.col(title))
+    counted = df.withColumn("_profile", pair_profile(lexicon)(*texts))
+    names = [f"{side}_n_{name}" for side in ("body", "title") for name in NAMES]
+    shared = F.try_divide(F.col("_profile.n_shared"), F.col("_profile.title_n_distinct_words"))
+    return counted.withColumns(
+        {
+            "body_n_sentences": sentence_count(F.col(body)),
+            **{name: F.col("_profile")[name] for name in names},
+            "title_in_body_perc": shared,
+        }
+    ).drop("_profile")
 
 
 def questions_nlp(posts, lexicon=None):
@@ -52,11 +44,7 @@ def questions_nlp(posts, lexicon=None):
         clean_html_nocode(F.col("body")).alias("body_clean_nocode"),
         "title",
     )
-    done = with_nlp(asked, lexicon=lexicon)
-    parts = [
-        f"{side}_n_{name}"
-        for side in ("body", "title")
-        for name in (["sentences"] if side == "body" else [])
-        + ["words", "distinct_words", *COUNTED]
-    ]
-    return done.select(*KEY, "body_clean_nocode", "title", *parts, "title_in_body_perc")
+    counts = [f"{side}_n_{name}" for side in ("body", "title") for name in NAMES]
+    return with_nlp(asked, lexicon=lexicon).select(
+        *KEY, "body_clean_nocode", "title", "body_n_sentences", *counts, "title_in_body_perc"
+    )
