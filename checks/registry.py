@@ -287,7 +287,7 @@ def model_data(spark, sf_dir):
 def drop_reasons(spark, sf_dir):
     posts, ballots, people, badges = _entities(spark, sf_dir)
     return features.drop_reasons(
-        votes.question_features(posts, ballots),
+        votes.question_texts(posts),
         users.user_status(posts, people, badges),
         users.user_history(posts),
         tags.tag_features(posts),

@@ -47,15 +47,21 @@ def body_lengths(df, body="body"):
     )
 
 
+def _markup(raw, *pieces):
+    """Whether the pieces occur in this order; the plain search spares most texts the pattern."""
+    return F.contains(raw, F.lit(pieces[0])) & raw.like("%" + "%".join(pieces) + "%")
+
+
 def html_flags(df, body="body"):
     """Add 0/1 flags for code, image, link and bold markup in the raw body."""
     raw = F.col(body)
+    bold = _markup(raw, "<strong>", "</strong>") | _markup(raw, "<b>", "</b>")
     return df.withColumns(
         {
-            "body_code_flag": _flag(raw.like("%<code>%</code>%")),
-            "body_image_flag": _flag(raw.like("%<img%>%")),
-            "body_link_flag": _flag(raw.like("%<a href%</a>%")),
-            "body_bold_flag": _flag(raw.like("%<strong>%</strong>%") | raw.like("%<b>%</b>%")),
+            "body_code_flag": _flag(_markup(raw, "<code>", "</code>")),
+            "body_image_flag": _flag(_markup(raw, "<img", ">")),
+            "body_link_flag": _flag(_markup(raw, "<a href", "</a>")),
+            "body_bold_flag": _flag(bold),
         }
     )
 

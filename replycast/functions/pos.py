@@ -3,8 +3,6 @@
 Tags follow the Penn Treebank names; counts use their prefixes V, N, PR, J and RB.
 """
 
-import re
-
 # Closed word classes and frequent words of English.
 WORD_TAGS = {
     "PRP": "i me myself we us ourselves you yourself he him himself she her herself it itself "
@@ -25,22 +23,20 @@ WORD_TAGS = {
     "JJ": "new same other good bad better best different many more most few such own great "
     "small large big old high low long short first last next able",
 }
-# Endings tried in this order for other words.
+# Endings tried in this order for other words; numbers come before them.
 SUFFIX_TAGS = (
-    (r"^[0-9]+$", "CD"),
-    (r"ly$", "RB"),
-    (r"ing$", "VBG"),
-    (r"ed$", "VBD"),
-    (r"(?:ize|ise|ify|ate)$", "VB"),
-    (r"(?:able|ible|ful|ous|ive|less|ical|ic|al|ish|ary)$", "JJ"),
-    (r"[^s]s$", "NNS"),
+    (("ly",), "RB"),
+    (("ing",), "VBG"),
+    (("ed",), "VBD"),
+    (("ize", "ise", "ify", "ate"), "VB"),
+    (("able", "ible", "ful", "ous", "ive", "less", "ical", "ic", "al", "ish", "ary"), "JJ"),
 )
+NUMBER_TAG, PLURAL_TAG = "CD", "NNS"
 DEFAULT_TAG = "NN"
 
 COUNTED = {"verbs": "V", "nouns": "N", "pronouns": "PR", "adjectives": "J", "adverbs": "RB"}
 
 _KNOWN = {word: tag for tag, words in WORD_TAGS.items() for word in words.split()}
-_RULES = [(re.compile(pattern), tag) for pattern, tag in SUFFIX_TAGS]
 
 
 def tag_word(word, lexicon=None):
@@ -49,7 +45,12 @@ def tag_word(word, lexicon=None):
     known = (lexicon or {}).get(word) or _KNOWN.get(word)
     if known:
         return known
-    return next((tag for rule, tag in _RULES if rule.search(word)), DEFAULT_TAG)
+    if word.isdecimal():
+        return NUMBER_TAG
+    for endings, tag in SUFFIX_TAGS:
+        if word.endswith(endings):
+            return tag
+    return PLURAL_TAG if word.endswith("s") and not word.endswith("ss") else DEFAULT_TAG
 
 
 def read_lexicon(table, max_words=200_000):

@@ -15,7 +15,8 @@ STEP_4 = (
     "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
-_STEP_4 = frozenset(STEP_4)
+# last two letters of the suffixes of a step: most words are passed over by one look-up
+_ENDS_2, _ENDS_3, _ENDS_4 = ({s[-2:] for s in rules} for rules in (STEP_2, STEP_3, STEP_4))
 
 
 def _shape(word):
@@ -39,44 +40,43 @@ def _short_end(word):
     return _shape(word).endswith("cvc") and word[-1] not in "wxy"
 
 
-def _longest(word, suffixes):
-    """Longest of the suffixes (2 to 7 letters) that the word ends in."""
-    for n in range(min(7, len(word)), 1, -1):
-        if word[-n:] in suffixes:
-            return word[-n:]
+def _longest(word, rules, ends):
+    """Longest suffix of the rules (2 to 7 letters) that the word ends in."""
+    if word[-2:] in ends:
+        for n in range(min(7, len(word)), 1, -1):
+            if word[-n:] in rules:
+                return word[-n:]
     return None
 
 
 def _plural(word):
-    for suffix, new in (("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")):
-        if word.endswith(suffix):
-            return word[: -len(suffix)] + new
-    return word
+    if word.endswith(("sses", "ies")):
+        return word[:-2]
+    return word if word.endswith("ss") else word[:-1]
 
 
 def _past(word):
     if word.endswith("eed"):
         return word[:-1] if _measure(word[:-3]) > 0 else word
-    suffix = _longest(word, ("ed", "ing"))
-    if suffix is None or "v" not in _shape(word[: -len(suffix)]):
+    rest = word[:-2] if word.endswith("ed") else word[:-3]
+    if "v" not in _shape(rest):
         return word
-    word = word[: -len(suffix)]
-    if word.endswith(("at", "bl", "iz")):
-        return word + "e"
-    if _double_end(word):
-        return word if word[-1] in "lsz" else word[:-1]
-    return word + "e" if _measure(word) == 1 and _short_end(word) else word
+    if rest.endswith(("at", "bl", "iz")):
+        return rest + "e"
+    if _double_end(rest):
+        return rest if rest[-1] in "lsz" else rest[:-1]
+    return rest + "e" if _measure(rest) == 1 and _short_end(rest) else rest
 
 
-def _mapped(word, rules):
-    suffix = _longest(word, rules)
+def _mapped(word, rules, ends):
+    suffix = _longest(word, rules, ends)
     if suffix and _measure(word[: -len(suffix)]) > 0:
         return word[: -len(suffix)] + rules[suffix]
     return word
 
 
 def _dropped(word):
-    suffix = _longest(word, _STEP_4)
+    suffix = _longest(word, STEP_4, _ENDS_4)
     if suffix is None:
         return word
     rest = word[: -len(suffix)]
@@ -100,7 +100,11 @@ def porter(word):
     word = word.lower()
     if len(word) <= 2:
         return word
-    word = _past(_plural(word))
+    if word.endswith("s"):
+        word = _plural(word)
+    if word.endswith(("ed", "ing")):
+        word = _past(word)
     if word.endswith("y") and "v" in _shape(word[:-1]):
         word = word[:-1] + "i"
-    return _final(_dropped(_mapped(_mapped(word, STEP_2), STEP_3)))
+    word = _mapped(_mapped(word, STEP_2, _ENDS_2), STEP_3, _ENDS_3)
+    return _final(_dropped(word))

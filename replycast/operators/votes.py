@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.html import body_lengths, html_flags, title_flags
-from ..functions.scalars import date_parts, n_tags, presence_flag, within_days
+from ..functions.scalars import date_parts, n_tags, presence_flag, with_defaults, within_days
 from ..schemas import DOWN_VOTE, QUESTION, UP_VOTE
 
 KEY = ["dataset_name", "post_id"]
@@ -52,8 +52,8 @@ def question_scores(posts, votes, horizons=(1, 30)):
     )
 
 
-def question_features(posts, votes, horizons=(1, 30)):
-    """One row per question: cleaned texts, body, title, date and vote features."""
+def question_texts(posts):
+    """One row per question with what its own row tells: texts, body, title and date features."""
     asked = questions_of(posts).select(
         "dataset_name",
         F.col("id").alias("post_id"),
@@ -65,10 +65,18 @@ def question_features(posts, votes, horizons=(1, 30)):
         presence_flag(F.col("closed_date")).alias("post_closed_flag"),
         F.col("score").alias("post_score"),
     )
-    described = title_flags(html_flags(body_lengths(date_parts(asked, "post_datetime"))))
-    scores = [f"post_score_{n}d" for n in horizons]
-    joined = described.join(question_scores(posts, votes, horizons), KEY, "left")
-    return joined.select(
+    return title_flags(html_flags(body_lengths(date_parts(asked, "post_datetime"))))
+
+
+def with_scores(texts, posts, votes, horizons=(1, 30)):
+    """Add the net votes per horizon to question rows, 0 for questions without votes."""
+    joined = texts.join(question_scores(posts, votes, horizons), KEY, "left")
+    return with_defaults(joined, {f"post_score_{n}d": 0 for n in horizons})
+
+
+def question_features(posts, votes, horizons=(1, 30)):
+    """One row per question: cleaned texts, body, title, date and vote features."""
+    return with_scores(question_texts(posts), posts, votes, horizons).select(
         *KEY,
         "post_datetime",
         "post_hour",
@@ -93,5 +101,5 @@ def question_features(posts, votes, horizons=(1, 30)):
         "n_tags",
         "post_closed_flag",
         "post_score",
-        *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in scores],
+        *[f"post_score_{n}d" for n in horizons],
     )

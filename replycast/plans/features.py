@@ -9,7 +9,7 @@ from ..operators.nlp import with_nlp
 from ..operators.skew import HOT_ROWS
 from ..operators.tags import tag_features
 from ..operators.users import user_history, user_status
-from ..operators.votes import KEY, question_features, questions_of
+from ..operators.votes import KEY, question_texts, questions_of, with_scores
 from .names import (
     ANSWER_NAMES,
     HISTORY_NAMES,
@@ -95,7 +95,7 @@ def build_model_data(posts, votes, users, badges, lexicon=None, forums=None, hot
     if forums is None:
         forums = forum_list(questions_of(posts))
     return assemble_model_data(
-        with_nlp(question_features(posts, votes), lexicon=lexicon),
+        with_scores(with_nlp(question_texts(posts), lexicon=lexicon), posts, votes),
         user_status(posts, users, badges, hot_rows),
         user_history(posts, hot_rows),
         tag_features(posts, hot_rows=hot_rows),
@@ -105,7 +105,10 @@ def build_model_data(posts, votes, users, badges, lexicon=None, forums=None, hot
 
 
 def drop_reasons(questions, status, history, tags, answers):
-    """Questions per reason for not reaching the training table; the first that holds counts."""
+    """Questions per reason for not reaching the training table; the first that holds counts.
+
+    `questions` needs the keys and the body and title lengths only.
+    """
 
     def known(table, name, *extra):
         return table.select(*KEY, F.lit(True).alias(name), *extra)
