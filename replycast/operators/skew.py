@@ -5,6 +5,9 @@ table the library broadcasts on purpose; keys beyond that bound are handled unsp
 them holds at most 1 / MOST_KEYS of the rows.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -28,12 +31,14 @@ def lookup_join(left, right, keys, how="inner", salt_by=None, hot_rows=HOT_ROWS)
     """Join rows to a table that is unique by `keys`, salting the keys that are hot on the left.
 
     Rows of a hot key are spread over SPREAD partitions by a hash of `salt_by`; the one row they
-    look up is copied to each. Other rows use salt 0. `how` is "inner" or "left".
+    look up is copied to each. Rows without a key match nothing and are spread too. Other rows use
+    salt 0. `how` is "inner" or "left".
     """
     hot = hot_keys(left, keys, hot_rows)
     salt = F.pmod(F.xxhash64(*(salt_by or left.columns)), F.lit(SPREAD)).cast("int")
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     spread = mark_hot(left, keys, hot).withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))
     )
     copies = mark_hot(right, keys, hot).withColumn(
         "_salt",
@@ -58,57 +63,75 @@ def running_totals(
     lags       {output: (column, days)}, summed over events at least that many calendar days older
     first      output column for the earliest `at` of the key up to this event
 
-    A key is one window partition, ordered by time. A hot key is cut into hours instead: the
-    window runs inside the hour, and the totals of the hours before come from an aggregate with
-    one row per key and hour, which is small however many events the key has.
+    A key is one window partition, ordered by time. Hot keys take another way, see `_by_moment`;
+    if there are none, adaptive execution finds that branch empty and drops it.
     """
     dated = F.col(at).isNotNull()
     sums = {out: F.when(dated, column) for out, column in sums.items()}
     lags = {out: (F.when(dated, column), days) for out, (column, days) in (lags or {}).items()}
-    day = F.unix_date(F.to_date(at))
-    cut = mark_hot(events, keys, hot_keys(events, keys, hot_rows)).withColumn(
-        "_slice", F.when(F.col("_hot"), day * 24 + F.hour(at)).otherwise(F.lit(0))
-    )
+    marked = mark_hot(events, keys, hot_keys(events, keys, hot_rows))
+    plain, hot = marked.where(F.col("_hot").isNull()), marked.where(F.col("_hot"))
+    args = keys, at, sums, inclusive, lags, first
+    windowed = _by_window(plain.drop("_hot"), *args)
+    return windowed.unionByName(_by_moment(hot.drop("_hot"), *args, hot_rows))
+
 
-    piece = Window.partitionBy(*keys, "_slice")
-    by_time = piece.orderBy(F.unix_micros(at))
+def _by_window(events, keys, at, sums, inclusive, lags, first):
+    key = Window.partitionBy(*keys)
+    by_time = key.orderBy(F.unix_micros(at))
+    by_day = key.orderBy(F.unix_date(F.to_date(at)))
     to_here = by_time.rangeBetween(Window.unboundedPreceding, 0)
     before = to_here if inclusive else by_time.rangeBetween(Window.unboundedPreceding, -1)
-    inside = {out: F.sum(column).over(before) for out, column in sums.items()}
+    totals = {out: F.sum(column).over(before) for out, column in sums.items()}
     for out, (column, days) in lags.items():
-        inside[out] = F.sum(column).over(
-            piece.orderBy(day).rangeBetween(Window.unboundedPreceding, -days)
-        )
+        totals[out] = F.sum(column).over(by_day.rangeBetween(Window.unboundedPreceding, -days))
+    totals = {out: F.coalesce(total, F.lit(0)) for out, total in totals.items()}
     if first:
-        inside[first] = F.min(at).over(to_here)
-
-    hours = (
-        cut.where("_hot")
-        .groupBy(*keys, "_slice")
-        .agg(
-            *[F.sum(column).alias(out) for out, column in sums.items()],
-            *[F.sum(column).alias(out) for out, (column, _) in lags.items()],
-            *([F.min(at).alias(first)] if first else []),
-        )
+        totals[first] = F.min(at).over(to_here)
+    return events.withColumns(totals)
+
+
+def _by_moment(events, keys, at, sums, inclusive, lags, first, hot_rows):
+    """The same for keys with very many events, in groups whose size does not grow with them.
+
+    Events are added up per key and moment, then per key and hour, both with partial sums before
+    the shuffle. Running totals go over the hours of a key and over the moments of an hour, and
+    each event looks up the result of its moment.
+    """
+    hour = F.unix_date(F.to_date(at)) * 24 + F.hour(at)
+    parts = {**sums, **{out: column for out, (column, _) in lags.items()}}
+    moments = events.groupBy(*keys, at, hour.alias("_hour")).agg(
+        *[F.sum(column).alias(out) for out, column in parts.items()]
+    )
+    hours = moments.groupBy(*keys, "_hour").agg(
+        *[F.sum(out).alias(out) for out in parts], F.min(at).alias("_from")
     )
-    by_hour = Window.partitionBy(*keys).orderBy("_slice")
+
+    by_hour = Window.partitionBy(*keys).orderBy("_hour")
+    by_day = Window.partitionBy(*keys).orderBy(F.floor(F.col("_hour") / 24))
     earlier = by_hour.rowsBetween(Window.unboundedPreceding, -1)
-    by_day = Window.partitionBy(*keys).orderBy(F.floor(F.col("_slice") / 24))
     carried = {out: F.sum(out).over(earlier) for out in sums}
     for out, (_, days) in lags.items():
         carried[out] = F.sum(out).over(by_day.rangeBetween(Window.unboundedPreceding, -days))
+    carry = hours.select(
+        *keys,
+        "_hour",
+        *[total.alias(f"_{out}") for out, total in carried.items()],
+        F.min("_from").over(by_hour.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"),
+    )
+
+    in_hour = Window.partitionBy(*keys, "_hour").orderBy(at)
+    before = in_hour.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    inside = {out: F.sum(out).over(before) for out in sums}
+    looked_up = moments.select(
+        *keys, at, "_hour", *[total.alias(out) for out, total in inside.items()]
+    ).join(carry, [*keys, "_hour"])
+    totals = {out: F.coalesce(out, F.lit(0)) + F.coalesce(f"_{out}", F.lit(0)) for out in sums}
+    totals |= {out: F.coalesce(f"_{out}", F.lit(0)) for out in lags}
     if first:
-        carried[first] = F.min(first).over(earlier)
-    carry = hours.select(*keys, "_slice", *[c.alias(f"_prior_{out}") for out, c in carried.items()])
-
-    joined = cut.withColumns(inside).join(carry, [*keys, "_slice"], "left")
-    zero = F.lit(0)
-    totals = {
-        out: F.coalesce(F.col(out), zero) + F.coalesce(F.col(f"_prior_{out}"), zero)
-        for out in [*sums, *lags]
-    }
-    if first:
-        totals[first] = F.least(first, f"_prior_{first}")
-    return joined.withColumns(totals).drop(
-        "_hot", "_slice", *[f"_prior_{out}" for out in carried]
+        totals[first] = F.col("_first")
+    per_moment = looked_up.select(*keys, at, *[total.alias(out) for out, total in totals.items()])
+    found = lookup_join(
+        events.drop(*totals), per_moment, [*keys, at], "left", hot_rows=hot_rows
     )
+    return found.withColumns({out: F.coalesce(out, F.lit(0)) for out in [*sums, *lags]})
