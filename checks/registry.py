@@ -427,7 +427,7 @@ def request_lookup(spark, sf_dir):
         "user_display_name",
         *STATUS_NAMES.values(),
         *HISTORY_NAMES.values(),
-        *[f"{m}_avg" for m in scoring.TAG_MEASURES],
+        *scoring.TAG_MEANS,
         _map_text("tag_found").alias("tag_found"),
     )
 
