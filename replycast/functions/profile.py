@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import pos, stem
-from .words import stop_words
+from .words import STOP_WORDS
 
 # this code travels inside the task, so executors need not have the package installed
 for _module in (sys.modules[__name__], pos, stem):
@@ -90,7 +90,7 @@ def _ints(columns):
 
 def word_profile(lexicon=None):
     """Column function: word text to a struct of counts and the distinct stems."""
-    lookup = _Words(stop_words(), lexicon)
+    lookup = _Words(STOP_WORDS, lexicon)
 
     @F.arrow_udf(T.StructType([*COUNTS, STEMS]))
     def profile(texts: pa.Array) -> pa.Array:
@@ -110,7 +110,7 @@ def pair_profile(lexicon=None):
 
     The stems that a title shares with its body are counted here, so no stems leave the task.
     """
-    lookup = _Words(stop_words(), lexicon)
+    lookup = _Words(STOP_WORDS, lexicon)
     names = [f"{side}_n_{name}" for side in ("body", "title") for name in NAMES]
 
     @F.arrow_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in (*names, "n_shared")]))

@@ -1,10 +1,25 @@
 """Sentences, tokens, stop words: built-in expressions over a text column."""
 
-from functools import lru_cache
-
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
+# The default English stop words of Spark ML.
+STOP_WORDS = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his
+    himself she her hers herself it its itself they them their theirs themselves what which
+    who whom this that these those am is are was were be been being have has had having do
+    does did doing a an the and but if or because as until while of at by for with about
+    against between into through during before after above below to from up down in out on
+    off over under again further then once here there when where why how all any both each
+    few more most other some such no nor not only own same so than too very s t can will
+    just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+    they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't
+    wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't
+    shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's
+    what's when's where's who's why's would
+    """.split()
+)
+
 # Everything but letters, digits, apostrophes and white space. Written as an intersection, which
 # Java matches about ten times faster than the same set as one negated list of ranges.
 NOT_WORD = r"[\W_&&[^'\s]]"
@@ -40,12 +55,6 @@ def token_count(words):
     return F.size(words)
 
 
-@lru_cache
-def stop_words():
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def without_stop_words(words):
     """Tokens that are no stop words, ignoring case; order and repeats are kept."""
-    stops = list(stop_words())
-    return F.filter(words, lambda w: ~F.lower(w).isin(stops))
+    return F.filter(words, lambda w: ~F.lower(w).isin(list(STOP_WORDS)))
