@@ -1,10 +1,16 @@
 """Registered queries over the driver tables: a thin one for each operator."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from . import bpe, pii
 from .exact import exact_dedup
 from .mixing import cycled_weights, mix
 from .quality_rules import quality_rules
+from .simhash import simhash_dedup
+
+#: Rank file of the production vocabulary.
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def _table(spark, sf_dir, name):
@@ -19,6 +25,22 @@ def op1_mixing(spark, sf_dir):
     )
 
 
+def op4_pii(spark, sf_dir):
+    found = pii.find_pii(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(f"n_{kind}" for kind in pii.BASE_KINDS),
+        F.sha2(pii.joined(pii.BASE_KINDS), 256).alias("base_sha256"),
+        pii.joined(pii.KINDS).alias("spans"),
+    )
+
+
+def op5_simhash(spark, sf_dir):
+    found = simhash_dedup(_table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.withColumn("fingerprint", digits)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -27,11 +49,26 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules(_table(spark, sf_dir, "documents")).drop("lang", "source")
 
 
+def op9_bpe(spark, sf_dir):
+    pattern = public_tokenizers.PATTERN
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), VOCABULARY, pattern)
+    decoded = bpe.decode(encoded, VOCABULARY, pattern)
+    return decoded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op4_pii,
+        op5_simhash,
         op6_exact_dedup,
         op8_quality_rules,
+        op9_bpe,
     )
 }
