@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, pii
+from . import bpe, classifier, langid, pii
 from .exact import exact_dedup
 from .mixing import cycled_weights, mix
 from .quality_rules import quality_rules
@@ -25,6 +25,14 @@ def op1_mixing(spark, sf_dir):
     )
 
 
+def op2_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = lambda id_col: F.coalesce(classifier.remainder(id_col, 4) == 2, F.lit(False))
+    model = langid.fit(docs, learn=lambda id_col: ~held_out(id_col))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "mixture")
+
+
 def op4_pii(spark, sf_dir):
     found = pii.find_pii(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -61,14 +69,28 @@ def op9_bpe(spark, sf_dir):
     )
 
 
+def op10_quality_classifier(spark, sf_dir):
+    docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = lambda id_col: F.coalesce(classifier.remainder(id_col, 3) == 1, F.lit(False))
+    model = classifier.fit(docs, labels, learn=lambda id_col: ~held_out(id_col))
+    scored = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        classifier.score_column(spark, model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op2_language_id,
         op4_pii,
         op5_simhash,
         op6_exact_dedup,
         op8_quality_rules,
         op9_bpe,
+        op10_quality_classifier,
     )
 }
