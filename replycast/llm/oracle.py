@@ -15,6 +15,36 @@ FROM d
 WINDOW best AS (PARTITION BY body ORDER BY size DESC, doc_id)
 """
 
+OP7 = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+') AS words FROM documents
+),
+windows AS (
+  SELECT doc_id, start, array_to_string(list_slice(words, start, start + 34), ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS start FROM d)
+),
+starts AS (
+  SELECT doc_id, start FROM windows
+  WHERE run IN (SELECT run FROM windows GROUP BY run HAVING count(*) > 1)
+),
+covered AS (
+  SELECT DISTINCT doc_id, start + step AS place FROM starts, (SELECT unnest(range(35)) AS step)
+),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS body, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM d) w
+  WHERE NOT EXISTS (
+    SELECT 1 FROM covered c WHERE c.doc_id = w.doc_id AND c.place = w.place
+  )
+  GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 SQL = {
     "op6_exact_dedup": OP6,
+    "op7_substring_dedup": OP7,
 }

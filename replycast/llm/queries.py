@@ -8,6 +8,7 @@ from .exact import exact_dedup
 from .mixing import cycled_weights, mix
 from .quality_rules import quality_rules
 from .simhash import simhash_dedup
+from .substrings import substring_dedup
 
 #: Rank file of the production vocabulary.
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -53,6 +54,11 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    digest = {"kept_sha256": F.sha2("kept_text", 256)}
+    return substring_dedup(_table(spark, sf_dir, "documents"), derive=digest)
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules(_table(spark, sf_dir, "documents")).drop("lang", "source")
 
@@ -89,6 +95,7 @@ QUERIES = {
         op4_pii,
         op5_simhash,
         op6_exact_dedup,
+        op7_substring_dedup,
         op8_quality_rules,
         op9_bpe,
         op10_quality_classifier,
