@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, classifier, langid, pii
 from .exact import exact_dedup
+from .lines import line_dedup
 from .mixing import cycled_weights, mix
 from .quality_rules import quality_rules
 from .simhash import simhash_dedup
@@ -34,6 +35,11 @@ def op2_language_id(spark, sf_dir):
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "mixture")
 
 
+def op3_line_dedup(spark, sf_dir):
+    found = line_dedup(_table(spark, sf_dir, "documents"))
+    return found.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
+
+
 def op4_pii(spark, sf_dir):
     found = pii.find_pii(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -92,6 +98,7 @@ QUERIES = {
     for f in (
         op1_mixing,
         op2_language_id,
+        op3_line_dedup,
         op4_pii,
         op5_simhash,
         op6_exact_dedup,
