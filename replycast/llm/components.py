@@ -14,19 +14,29 @@ def _oriented(links):
     )
 
 
+def _drawn(node, number):
+    """A node with its place in the order of a round, to be compared."""
+    return F.struct(F.xxhash64(F.lit(number), node).alias("draw"), F.col(node).alias("node"))
+
+
 def components(links):
-    """`node` and `root` for every node of the links `a`, `b`; `root` names its component.
+    """`node` and `root` for every node of the links `a`, `b`; `root` is one node of its component.
 
-    In every round each node points to its smallest neighbour, or itself if it is smaller, and from there
-    on to that one's own choice. Links then join the nodes pointed to. Only narrow tables move, nothing
-    is collected, and each round's tables are written, so a lost executor costs one round at most.
+    In every round nodes are put in a new random order. Each points to the first of its neighbours and
+    itself, and from there on to that one's own choice; links then join the nodes pointed to. The random
+    order keeps chains short, so the number of rounds grows with the logarithm of the longest path. Only
+    narrow tables move, nothing is collected, and each round's tables are written, so a lost executor
+    costs one round at most.
     """
-    links = saved(_oriented(links))
-    roots = None
+    links, roots, number = saved(_oriented(links)), None, 0
     while not links.isEmpty():
+        number += 1
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = F.min(_drawn("b", number))
+        nearest = both.groupBy(F.col("a").alias("node")).agg(first.alias("first"))
+        own = _drawn("node", number) < F.col("first")
         nearest = saved(
-            both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("next"))
+            nearest.select("node", F.when(own, F.col("node")).otherwise(F.col("first.node")).alias("next"))
         )
         second = nearest.select(F.col("node").alias("next"), F.col("next").alias("root"))
         steps = saved(nearest.join(second, "next").select("node", "root"))
