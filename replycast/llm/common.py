@@ -23,6 +23,12 @@ def without_blanks(text):
     return text
 
 
+def row_hashes(*names):
+    """128 bits of columns, nulls told from values, as `h1` and `h2`."""
+    columns = [c for name in names for c in (F.col(name).isNull(), F.col(name))]
+    return F.xxhash64(*columns).alias("h1"), F.xxhash64(F.lit(7), *columns).alias("h2")
+
+
 def saved(df):
     """`df` written to the shared checkpoint folder, so that it is computed once."""
     shared_dir(df.sparkSession)

@@ -9,7 +9,7 @@ table gives an empty table. Only the named columns are read.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import saved, words
+from .common import row_hashes, saved, words
 
 BUCKETS = 1024
 
@@ -78,17 +78,17 @@ def _copies(rows, goals, seed):
 
 
 def mix(docs, weights, max_epochs=3.0, total=None, seed=17, id_col="doc_id", text_col="text",
-        source_col="source", carry=()):
+        source_col="source"):
     """Rows with their size, their source's size and target, and `copies`: how often the mix has them.
 
     `weights` has the columns source and weight. Each source's words in the mix differ from its target
-    by at most half of one row. `carry` names columns to hand on as a struct `row`.
+    by at most half of one row. `h1` and `h2` are the `row_hashes` of id, source and text.
     """
     rows = docs.select(
-        F.struct(*carry).alias("row") if carry else F.lit(None).alias("row"),
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.size(words(F.col(text_col))).cast("long").alias("size"),
+        *row_hashes(id_col, source_col, text_col),
     )
     sums = rows.groupBy("source").agg(F.sum("size").alias("size"))
     given = weights.select(F.col("source").alias("w"), "weight")
@@ -100,6 +100,19 @@ def mix(docs, weights, max_epochs=3.0, total=None, seed=17, id_col="doc_id", tex
     return _copies(rows, targets(sums, max_epochs, total), seed)
 
 
+def mixed(docs, weights, id_col="doc_id", text_col="text", source_col="source", **options):
+    """The rows of the mix: those of `docs`, each as often as the mix has it.
+
+    Rows that repeat id, source and text are copies of the first of them that Spark meets.
+    """
+    drawn = mix(docs, weights, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    drawn = drawn.groupBy("h1", "h2").agg(F.sum("copies").alias("copies")).filter("copies > 0")
+    rows = docs.select(F.struct("*").alias("row"), *row_hashes(id_col, source_col, text_col))
+    rows = rows.groupBy("h1", "h2").agg(F.first("row").alias("row"))
+    taken = rows.join(drawn, ["h1", "h2"])
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
+
+
 def cycled_weights(docs, source_col="source", cycle=(1, 2, 3)):
     """Weights for the sources in order of code points, null last: the cycle's values in turn.
 

@@ -10,10 +10,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import row_hashes, saved
 from .components import components
 
 SEED = 42
@@ -219,12 +218,12 @@ def near_links(values, distance=4, blocks=6):
     return dealt.mapInArrow(joined, "a long, b long")
 
 
-def near_dedup(rows, distance=4):
-    """`fingerprint`, `first` for every fingerprint of `rows` (doc_id, fingerprint).
+def near_dedup(rows, distance=4, tie=()):
+    """`fingerprint`, `first` for every fingerprint of `rows` (doc_id, fingerprint and the `tie` columns).
 
-    `first` is the smallest (no_id, doc_id, fingerprint) among the rows that can be reached over links.
+    `first` is the smallest (no_id, doc_id, *tie) among the rows that can be reached over links.
     """
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fingerprint"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *tie))
     classes = saved(rows.groupBy("fingerprint").agg(first.alias("first")))
     links = near_links(classes.select(F.col("fingerprint").alias("value")), distance)
     roots = components(links).withColumnRenamed("node", "fingerprint")
@@ -251,16 +250,14 @@ def simhash_dedup(docs, id_col="doc_id", text_col="text", distance=4, size=WORDS
 def keep_first(docs, id_col="doc_id", text_col="text", distance=4, size=WORDS):
     """The rows of `docs`, one of each component: that with the smallest id.
 
-    Of rows that share id and fingerprint with it, the smallest text stays.
+    Of several texts with that id, the one with the smallest hash stays, and one row of those that repeat
+    id and text.
     """
-    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    whole = whole.withColumn("fingerprint", fingerprint_column("text", size))
-    rows = saved(whole.select("doc_id", "fingerprint"))
-    winners = near_dedup(rows, distance).select(
-        F.col("first.doc_id").alias("w"), F.col("first.fingerprint").alias("fingerprint")
-    ).distinct()
-    same = whole["fingerprint"] == winners["fingerprint"]
-    kept = whole.join(winners, same & F.col("doc_id").eqNullSafe(F.col("w")))
-    order = Window.partitionBy(whole["fingerprint"], "w").orderBy("text")
-    kept = kept.select("row", F.row_number().over(order).alias("place"))
-    return kept.filter("place = 1").select("row.*")
+    hashes = row_hashes(id_col, text_col)
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), fingerprint_column(text_col, size).alias("fingerprint"), *hashes
+    )
+    firsts = near_dedup(saved(rows), distance, ("h1", "h2")).select("first.h1", "first.h2").distinct()
+    whole = docs.select(F.struct("*").alias("row"), *hashes)
+    whole = whole.groupBy("h1", "h2").agg(F.first("row").alias("row"))
+    return whole.join(firsts, ["h1", "h2"]).select("row.*")
