@@ -35,6 +35,11 @@ def _plain(frame):
     return sorted([_value(v) for v in row] for row in frame.itertuples(index=False, name=None))
 
 
+def _kind(column):
+    """Type of a column, None if missing values hide it."""
+    return None if column.isna().any() else column.map(type).mode().iloc[0].__name__ if len(column) else None
+
+
 def differences(spark, con, name, sf_dir):
     """Rows of the query and a short text on the first difference, or None."""
     sql = oracle_sql().get(name)
@@ -44,6 +49,9 @@ def differences(spark, con, name, sf_dir):
     other = con.execute(sql).fetchdf()
     if sorted(mine.columns) != sorted(other.columns):
         return len(mine), f"columns {sorted(set(mine.columns) ^ set(other.columns))}"
+    kinds = {n: (_kind(mine[n]), _kind(other[n])) for n in mine.columns}
+    if odd := {n: k for n, k in kinds.items() if None not in k and k[0] != k[1]}:
+        return len(mine), f"types {odd}"
     if len(mine) != len(other):
         return len(mine), f"{len(mine)} rows against {len(other)}"
     names = sorted(mine.columns)

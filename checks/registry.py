@@ -112,17 +112,20 @@ def _round_trip(spark, df, entity, times):
 
 
 def ingest_posts(spark, sf_dir):
-    asked = questions_view(_driver_tables(spark, sf_dir))
-    read = _round_trip(spark, asked, "posts", ("creation_date", "closed_date"))
+    """All posts, questions and answers, with every column the driver tables can fill."""
+    posts = tables(spark, sf_dir)("posts").drop("creation_year")
+    read = _round_trip(spark, posts, "posts", ("creation_date", "closed_date"))
     return _text(
         read.select(
             "id",
             "post_type_id",
+            "parent_id",
             "accepted_answer_id",
             "creation_date",
             "score",
+            "body",
             "owner_user_id",
-            F.length(F.trim("body")).cast("bigint").alias("body_length"),
+            "title",
             "tags",
             "answer_count",
             "closed_date",
@@ -132,6 +135,12 @@ def ingest_posts(spark, sf_dir):
     )
 
 
+def ingest_votes(spark, sf_dir):
+    ballots = tables(spark, sf_dir)("votes").drop("creation_year")
+    read = _round_trip(spark, ballots, "votes", ("creation_date",))
+    return read.select("post_id", "vote_type_id", "creation_date", "creation_year")
+
+
 def ingest_users(spark, sf_dir):
     people = users_view(_driver_tables(spark, sf_dir))
     read = _round_trip(spark, people, "users", ("creation_date",))
@@ -285,14 +294,8 @@ def model_data(spark, sf_dir):
 
 
 def drop_reasons(spark, sf_dir):
-    posts, ballots, people, badges = _entities(spark, sf_dir)
-    return features.drop_reasons(
-        votes.question_texts(posts),
-        users.user_status(posts, people, badges),
-        users.user_history(posts),
-        tags.tag_features(posts),
-        answers.answer_features(posts, ballots),
-    )
+    posts, _, people, _ = _entities(spark, sf_dir)
+    return features.drop_reasons(posts, people)
 
 
 @lru_cache
@@ -450,6 +453,7 @@ QUERIES = {
         composite_key,
         split_tags,
         ingest_posts,
+        ingest_votes,
         ingest_users,
         ingest_badges,
         pending_files,

@@ -4,13 +4,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import within_days
 from ..schemas import ACCEPTED, ANSWER, DOWN_VOTE, UP_VOTE
-from .skew import HOT_ROWS, lookup_join
 from .votes import KEY, daily_votes, net_votes, questions_of
 
 SCORE_DAYS = (1, 30)
 
 
-def answer_scores(posts, votes, horizons=(1, 7, 14, 30), hot_rows=HOT_ROWS):
+def answer_scores(posts, votes, horizons=(1, 7, 14, 30)):
     """One row per question and answer that its asker did not write.
 
     A question without answers has one row with a null answer. A question whose answers are all
@@ -31,7 +30,7 @@ def answer_scores(posts, votes, horizons=(1, 7, 14, 30), hot_rows=HOT_ROWS):
         F.coalesce(F.col("score"), F.lit(0)).alias("answer_score"),
         F.col("owner_user_id").alias("answerer"),
     )
-    paired = lookup_join(answers, asked, KEY, salt_by=["answer_id"], hot_rows=hot_rows)
+    paired = answers.join(asked, KEY)
     by_others = paired.where(
         F.col("answerer").isNull() | (F.col("answerer") != F.col("user_id"))
     ).drop("answerer")
@@ -63,9 +62,9 @@ def answer_scores(posts, votes, horizons=(1, 7, 14, 30), hot_rows=HOT_ROWS):
     return scored.select(zeros.columns).unionByName(zeros)
 
 
-def answer_features(posts, votes, horizons=(1, 7, 14, 30), hot_rows=HOT_ROWS):
+def answer_features(posts, votes, horizons=(1, 7, 14, 30)):
     """One row per question of `answer_scores`: answer counts, flags and best scores."""
-    scored = answer_scores(posts, votes, horizons, hot_rows)
+    scored = answer_scores(posts, votes, horizons)
     answer = F.col("answer_id")
 
     def in_time(n):

@@ -4,19 +4,19 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import forum_flag_name
 
-MOST_FORUMS = 5_000
-
-
 def forum_names(df):
     """Distinct dataset names in order, as a DataFrame."""
     return df.select("dataset_name").distinct().orderBy("dataset_name")
 
 
-def forum_list(df):
-    """Distinct dataset names in order; they become column names, so their number is checked."""
-    rows = forum_names(df).limit(MOST_FORUMS + 1).collect()
-    if len(rows) > MOST_FORUMS:
-        raise ValueError(f"more than {MOST_FORUMS} forums")
+def forum_list(df, most=5_000):
+    """Distinct dataset names in order; they become column names.
+
+    The driver holds the list, so more than `most` of them are refused; raise it to allow more.
+    """
+    rows = forum_names(df).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} forums")
     return [row.dataset_name for row in rows]
 
 

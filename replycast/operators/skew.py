@@ -1,137 +1,57 @@
-"""Joins and running totals that stay spread out when one key holds much of the data.
-
-`hot_keys` finds the keys worth splitting. Its size is bounded (`MOST_KEYS`), so it is the only
-table the library broadcasts on purpose; keys beyond that bound are handled unsplit, and each of
-them holds at most 1 / MOST_KEYS of the rows.
-"""
-
-from functools import reduce
-from operator import or_
+"""Running totals that stay spread out when one key holds much of the data."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MOST_KEYS = 10_000
-SPREAD = 64
-
-
-def hot_keys(df, keys, hot_rows=HOT_ROWS):
-    """Up to MOST_KEYS key values with at least `hot_rows` rows."""
-    counts = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = counts.where(F.col("_rows") >= hot_rows)
-    return hot.orderBy(F.desc("_rows")).limit(MOST_KEYS).select(*keys, F.lit(True).alias("_hot"))
-
-
-def mark_hot(df, keys, hot):
-    return df.join(F.broadcast(hot), keys, "left")
-
-
-def lookup_join(left, right, keys, how="inner", salt_by=None, hot_rows=HOT_ROWS):
-    """Join rows to a table that is unique by `keys`, salting the keys that are hot on the left.
-
-    Rows of a hot key are spread over SPREAD partitions by a hash of `salt_by`; the one row they
-    look up is copied to each. Rows without a key match nothing and are spread too. Other rows use
-    salt 0. `how` is "inner" or "left".
-    """
-    hot = hot_keys(left, keys, hot_rows)
-    salt = F.pmod(F.xxhash64(*(salt_by or left.columns)), F.lit(SPREAD)).cast("int")
-    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    spread = mark_hot(left, keys, hot).withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))
-    )
-    copies = mark_hot(right, keys, hot).withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    joined = spread.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], how)
-    return joined.drop("_salt")
-
 
-def running_totals(
-    events, keys, at, sums, inclusive=False, lags=None, first=None, hot_rows=HOT_ROWS
-):
+def running_totals(events, keys, at, sums, inclusive=False, lags=None, first=None):
     """Add, to each event, totals over the earlier events of its key.
 
-    events     rows with non-null key columns and a timestamp column `at`
+    events     rows with key columns and a timestamp column `at`
     sums       {output: numeric column}, summed over events before `at` (up to and including `at`
                with `inclusive`); 0 if there is none
     lags       {output: (column, days)}, summed over events at least that many calendar days older
     first      output column for the earliest `at` of the key up to this event
 
-    A key is one window partition, ordered by time. Hot keys take another way, see `_by_moment`;
-    if there are none, adaptive execution finds that branch empty and drops it.
+    Events are added up per key and hour, with partial sums before the shuffle. One running total goes
+    over the hours of a key, another one over the events of an hour, so the rows of a key are never in
+    one window; what a task holds is bounded by a key's hours or an hour's events. An event without a
+    time has no earlier ones.
     """
     dated = F.col(at).isNotNull()
-    sums = {out: F.when(dated, column) for out, column in sums.items()}
-    lags = {out: (F.when(dated, column), days) for out, (column, days) in (lags or {}).items()}
-    marked = mark_hot(events, keys, hot_keys(events, keys, hot_rows))
-    plain, hot = marked.where(F.col("_hot").isNull()), marked.where(F.col("_hot"))
-    args = keys, at, sums, inclusive, lags, first
-    windowed = _by_window(plain.drop("_hot"), *args)
-    return windowed.unionByName(_by_moment(hot.drop("_hot"), *args, hot_rows))
-
-
-def _by_window(events, keys, at, sums, inclusive, lags, first):
-    key = Window.partitionBy(*keys)
-    by_time = key.orderBy(F.unix_micros(at))
-    by_day = key.orderBy(F.unix_date(F.to_date(at)))
-    to_here = by_time.rangeBetween(Window.unboundedPreceding, 0)
-    before = to_here if inclusive else by_time.rangeBetween(Window.unboundedPreceding, -1)
-    totals = {out: F.sum(column).over(before) for out, column in sums.items()}
-    for out, (column, days) in lags.items():
-        totals[out] = F.sum(column).over(by_day.rangeBetween(Window.unboundedPreceding, -days))
-    totals = {out: F.coalesce(total, F.lit(0)) for out, total in totals.items()}
-    if first:
-        totals[first] = F.min(at).over(to_here)
-    return events.withColumns(totals)
-
-
-def _by_moment(events, keys, at, sums, inclusive, lags, first, hot_rows):
-    """The same for keys with very many events, in groups whose size does not grow with them.
-
-    Events are added up per key and moment, then per key and hour, both with partial sums before
-    the shuffle. Running totals go over the hours of a key and over the moments of an hour, and
-    each event looks up the result of its moment.
-    """
-    hour = F.unix_date(F.to_date(at)) * 24 + F.hour(at)
+    lags = lags or {}
     parts = {**sums, **{out: column for out, (column, _) in lags.items()}}
-    moments = events.groupBy(*keys, at, hour.alias("_hour")).agg(
-        *[F.sum(column).alias(out) for out, column in parts.items()]
-    )
-    hours = moments.groupBy(*keys, "_hour").agg(
-        *[F.sum(out).alias(out) for out in parts], F.min(at).alias("_from")
+    hour = F.unix_date(F.to_date(at)) * 24 + F.hour(at)
+    timed = events.withColumns(
+        {"_hour": hour, **{f"_{out}": F.when(dated, column) for out, column in parts.items()}}
     )
 
     by_hour = Window.partitionBy(*keys).orderBy("_hour")
     by_day = Window.partitionBy(*keys).orderBy(F.floor(F.col("_hour") / 24))
-    earlier = by_hour.rowsBetween(Window.unboundedPreceding, -1)
-    carried = {out: F.sum(out).over(earlier) for out in sums}
+    carried = {out: by_hour.rowsBetween(Window.unboundedPreceding, -1) for out in sums}
     for out, (_, days) in lags.items():
-        carried[out] = F.sum(out).over(by_day.rangeBetween(Window.unboundedPreceding, -days))
+        carried[out] = by_day.rangeBetween(Window.unboundedPreceding, -days)
+    hours = timed.where(dated).groupBy(*keys, "_hour").agg(
+        *[F.sum(f"_{out}").alias(out) for out in parts], F.min(at).alias("_from")
+    )
     carry = hours.select(
         *keys,
         "_hour",
-        *[total.alias(f"_{out}") for out, total in carried.items()],
+        *[F.sum(out).over(window).alias(f"_before_{out}") for out, window in carried.items()],
         F.min("_from").over(by_hour.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"),
     )
 
-    in_hour = Window.partitionBy(*keys, "_hour").orderBy(at)
-    before = in_hour.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    inside = {out: F.sum(out).over(before) for out in sums}
-    looked_up = moments.select(
-        *keys, at, "_hour", *[total.alias(out) for out, total in inside.items()]
-    ).join(carry, [*keys, "_hour"])
-    totals = {out: F.coalesce(out, F.lit(0)) + F.coalesce(f"_{out}", F.lit(0)) for out in sums}
-    totals |= {out: F.coalesce(f"_{out}", F.lit(0)) for out in lags}
+    in_hour = Window.partitionBy(*keys, "_hour").orderBy(F.unix_micros(at))
+    before = in_hour.rangeBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    none = F.lit(0)
+    totals = {
+        out: F.coalesce(f"_before_{out}", none) + F.coalesce(F.sum(f"_{out}").over(before), none)
+        for out in sums
+    }
+    totals |= {out: F.coalesce(f"_before_{out}", none) for out in lags}
     if first:
         totals[first] = F.col("_first")
-    per_moment = looked_up.select(*keys, at, *[total.alias(out) for out, total in totals.items()])
-    found = lookup_join(
-        events.drop(*totals), per_moment, [*keys, at], "left", hot_rows=hot_rows
+    kept = [F.col(c) for c in events.columns if c not in totals]
+    return timed.join(carry, [*keys, "_hour"], "left").select(
+        *kept, *[total.alias(out) for out, total in totals.items()]
     )
-    return found.withColumns({out: F.coalesce(out, F.lit(0)) for out in [*sums, *lags]})

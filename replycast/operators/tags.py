@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.scalars import age_days
-from .skew import HOT_ROWS, running_totals
+from .skew import running_totals
 from .votes import KEY, questions_of
 
 TAG = ["dataset_name", "tag"]
@@ -21,7 +21,7 @@ def tag_start(posts):
     return question_tags(posts).groupBy(*TAG).agg(F.min("creation_date").alias("tag_start_date"))
 
 
-def tag_features(posts, horizons=(30, 365), hot_rows=HOT_ROWS):
+def tag_features(posts, horizons=(30, 365)):
     """Per question: maximum and mean over its tags of earlier uses and of tag age.
 
     Uses within n days are all earlier uses less those at least n days older. A tag that a post
@@ -45,7 +45,6 @@ def tag_features(posts, horizons=(30, 365), hot_rows=HOT_ROWS):
         {"n_tag_posts": F.col("uses")},
         lags={f"older_{n}": (F.col("uses"), n) for n in horizons},
         first="tag_start_date",
-        hot_rows=hot_rows,
     )
     times = F.col("uses")
     measures = {"n_tag_posts": F.col("n_tag_posts") * times}

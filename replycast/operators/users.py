@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import age_days, presence_flag
 from ..schemas import ANSWER, QUESTION
-from .skew import HOT_ROWS, lookup_join, running_totals
+from .skew import running_totals
 from .votes import questions_of
 
 USER = ["dataset_name", "user_id"]
@@ -31,7 +31,7 @@ def profile(users):
     )
 
 
-def user_status(posts, users, badges, hot_rows=HOT_ROWS):
+def user_status(posts, users, badges):
     """Per question with a known author: profile, age and badges held at the time of asking.
 
     Badges and questions form one event list per user; a running total up to and including the
@@ -56,9 +56,8 @@ def user_status(posts, users, badges, hot_rows=HOT_ROWS):
         "at",
         {b: F.col(b) for b in BADGES},
         inclusive=True,
-        hot_rows=hot_rows,
     ).where(F.col("post_id").isNotNull())
-    known = lookup_join(counted, profile(users), USER, salt_by=["post_id"], hot_rows=hot_rows)
+    known = counted.join(profile(users), USER)
     return known.select(
         "dataset_name",
         "post_id",
@@ -107,7 +106,7 @@ def _history_columns():
     return [*names[:3], *flags, *names[3:]]
 
 
-def user_history(posts, hot_rows=HOT_ROWS):
+def user_history(posts):
     """Per question: what its author had posted strictly before it; zeros for unknown authors."""
     measures = history_measures()
     slim = posts.select(
@@ -123,7 +122,6 @@ def user_history(posts, hot_rows=HOT_ROWS):
         USER,
         "at",
         {out: F.col(out) for out in measures},
-        hot_rows=hot_rows,
     )
     unknown = slim.where(F.col("user_id").isNull()).withColumns(
         {out: F.lit(0).cast("bigint") for out in measures}

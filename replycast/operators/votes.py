@@ -52,9 +52,9 @@ def question_scores(posts, votes, horizons=(1, 30)):
     )
 
 
-def question_texts(posts):
-    """One row per question with what its own row tells: texts, body, title and date features."""
-    asked = questions_of(posts).select(
+def asked_texts(posts):
+    """One row per question with what its own row tells, texts as they are."""
+    return questions_of(posts).select(
         "dataset_name",
         F.col("id").alias("post_id"),
         F.col("creation_date").alias("post_datetime"),
@@ -65,6 +65,10 @@ def question_texts(posts):
         presence_flag(F.col("closed_date")).alias("post_closed_flag"),
         F.col("score").alias("post_score"),
     )
+
+
+def described(asked):
+    """Add the features of body, title and date."""
     return title_flags(html_flags(body_lengths(date_parts(asked, "post_datetime"))))
 
 
@@ -75,8 +79,11 @@ def with_scores(texts, posts, votes, horizons=(1, 30)):
 
 
 def question_features(posts, votes, horizons=(1, 30)):
-    """One row per question: cleaned texts, body, title, date and vote features."""
-    return with_scores(question_texts(posts), posts, votes, horizons).select(
+    """One row per question: cleaned texts, body, title, date and vote features.
+
+    The votes are joined to the texts as they are, so each text is shuffled once and cleaned after.
+    """
+    return described(with_scores(asked_texts(posts), posts, votes, horizons)).select(
         *KEY,
         "post_datetime",
         "post_hour",

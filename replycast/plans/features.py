@@ -2,14 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.html import clean_html
 from ..functions.scalars import pos_share
 from ..operators.answers import answer_features
 from ..operators.forums import forum_flags, forum_list
 from ..operators.nlp import with_nlp
-from ..operators.skew import HOT_ROWS
 from ..operators.tags import tag_features
 from ..operators.users import user_history, user_status
-from ..operators.votes import KEY, question_texts, questions_of, with_scores
+from ..operators.votes import KEY, asked_texts, described, questions_of, with_scores
+from ..schemas import ANSWER
 from .names import (
     ANSWER_NAMES,
     HISTORY_NAMES,
@@ -86,47 +87,57 @@ def assemble_model_data(questions, status, history, tags, answers, nlp=None, for
     return table if forums == [] else forum_flags(table, forums)
 
 
-def build_model_data(posts, votes, users, badges, lexicon=None, forums=None, hot_rows=HOT_ROWS):
+def build_model_data(posts, votes, users, badges, lexicon=None, forums=None):
     """Training table from the entity tables.
 
-    Word features are added to the question rows before any join, so the texts are read and
+    The votes are joined to the raw texts; all other joins are on the same key, so the texts are
     shuffled once. Without `forums`, all forums that ask questions get a flag.
     """
     if forums is None:
         forums = forum_list(questions_of(posts))
     return assemble_model_data(
-        with_scores(with_nlp(question_texts(posts), lexicon=lexicon), posts, votes),
-        user_status(posts, users, badges, hot_rows),
-        user_history(posts, hot_rows),
-        tag_features(posts, hot_rows=hot_rows),
-        answer_features(posts, votes, hot_rows=hot_rows),
+        with_nlp(described(with_scores(asked_texts(posts), posts, votes)), lexicon=lexicon),
+        user_status(posts, users, badges),
+        user_history(posts),
+        tag_features(posts),
+        answer_features(posts, votes),
         forums=forums,
     )
 
 
-def drop_reasons(questions, status, history, tags, answers):
+def drop_reasons(posts, users):
     """Questions per reason for not reaching the training table; the first that holds counts.
 
-    `questions` needs the keys and the body and title lengths only.
+    Each reason is looked up by itself: the author among the users, the answers among the posts.
     """
-
-    def known(table, name, *extra):
-        return table.select(*KEY, F.lit(True).alias(name), *extra)
-
-    joined = (
-        questions.select(*KEY, "body_n_characters", "title_n_characters")
-        .join(known(history, "has_history", "user_id"), KEY, "left")
-        .join(known(status, "has_status"), KEY, "left")
-        .join(known(tags, "has_tags"), KEY, "left")
-        .join(known(answers, "has_answers"), KEY, "left")
+    length = F.length(clean_html(F.col("body")))
+    asked = questions_of(posts).select(
+        "dataset_name",
+        F.col("id").alias("post_id"),
+        F.col("owner_user_id").alias("user_id"),
+        (F.size("tags") > 0).alias("has_tags"),
+        (length > 0).alias("has_body"),
+        (F.length("title") > 0).alias("has_title"),
+    )
+    authors = users.select("dataset_name", F.col("id").alias("user_id")).distinct()
+    answers = posts.where(F.col("post_type_id") == ANSWER).select(
+        "dataset_name", F.col("parent_id").alias("post_id"), F.col("owner_user_id").alias("answerer")
+    )
+    by_other = F.col("answerer").isNull() | (F.col("answerer") != F.col("user_id"))
+    answered = (
+        answers.join(asked.select(*KEY, "user_id"), KEY)
+        .groupBy(*KEY)
+        .agg(F.max(F.coalesce(by_other, F.lit(False))).alias("by_others"))
     )
+    joined = asked.join(authors.withColumn("known", F.lit(True)), ["dataset_name", "user_id"], "left")
+    joined = joined.join(answered, KEY, "left")
     reason = (
         F.when(F.col("user_id").isNull(), "no author")
-        .when(F.col("has_status").isNull(), "unknown author")
-        .when(F.col("has_tags").isNull(), "no tags")
-        .when(F.col("has_answers").isNull(), "only own answers")
-        .when(F.coalesce("body_n_characters", F.lit(0)) == 0, "empty body")
-        .when(F.coalesce("title_n_characters", F.lit(0)) == 0, "empty title")
+        .when(F.col("known").isNull(), "unknown author")
+        .when(~F.coalesce("has_tags", F.lit(False)), "no tags")
+        .when(~F.coalesce("by_others", F.lit(True)), "only own answers")
+        .when(~F.coalesce("has_body", F.lit(False)), "empty body")
+        .when(~F.coalesce("has_title", F.lit(False)), "empty title")
         .otherwise("kept")
     )
     return joined.groupBy(reason.alias("reason")).agg(F.count("*").alias("n_questions"))

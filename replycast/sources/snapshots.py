@@ -3,22 +3,24 @@
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df, key, version):
-    """One row per key: the one with the highest version.
+def latest_per_key(df, key, version=None):
+    """One row per key: the one with the highest version, of equal ones the largest row.
 
-    The maximum is taken before the shuffle as well, so many rows of one key do not meet.
+    The maximum is taken before the shuffle as well, so many rows of one key do not meet. Without
+    `version` rows have no order in time, and the largest row of a key stays.
     """
     rest = [c for c in df.columns if c not in (key, version)]
-    newest = F.max(F.struct(version, *rest)).alias("row")
+    order = [version] if version else []
+    newest = F.max(F.struct(*order, *rest)).alias("row")
     return df.groupBy(key).agg(newest).select(key, *[f"row.{c}" for c in rest])
 
 
 def merge_snapshot(current, updates, key="id", version=None):
     """Rows of `current` with those of `updates` put in place or added; the update wins.
 
-    If `updates` may repeat a key, `version` names the column that orders its rows.
+    Of rows of `updates` that repeat a key one stays, see `latest_per_key`.
     """
-    newest = latest_per_key(updates, key, version) if version else updates
+    newest = latest_per_key(updates, key, version)
     kept = current.join(newest.select(key), key, "left_anti")
     return kept.unionByName(newest.select(current.columns))
 
@@ -47,7 +49,7 @@ def upsert_snapshot(updates, path, key="id", version=None):
     if done:
         rows = merge_snapshot(read_snapshot(spark, path), updates, key, version)
     else:
-        rows = latest_per_key(updates, key, version) if version else updates
+        rows = latest_per_key(updates, key, version)
     number = done[-1] + 1 if done else 1
     rows.write.mode("overwrite").parquet(f"{path}/version={number}")
     return read_snapshot(spark, path)

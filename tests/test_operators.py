@@ -24,39 +24,16 @@ def vote(spark, *rows):
     return spark.createDataFrame([(*r, "f") for r in rows], schema)
 
 
-# --- skew: splitting every key as if it were hot must not change a result ---------------------
+# --- running totals and lookups -----------------------------------------------------------------
 
 
-def test_split_keys_give_the_same_history(entities):
-    posts = entities["posts"]
-    assert same(users.user_history(posts), users.user_history(posts, hot_rows=1))
-
-
-def test_split_keys_give_the_same_status(entities):
-    args = entities["posts"], entities["users"], entities["badges"]
-    assert same(users.user_status(*args), users.user_status(*args, hot_rows=1))
-
-
-def test_split_keys_give_the_same_tags(entities):
-    posts = entities["posts"]
-    assert same(tags.tag_features(posts), tags.tag_features(posts, hot_rows=1))
-
-
-def test_split_keys_give_the_same_answers(entities):
-    args = entities["posts"], entities["votes"]
-    whole = answers.answer_features(*args)
-    assert same(whole, answers.answer_features(*args, hot_rows=1))
-
-
-def test_split_keys_give_the_same_lookups(spark, entities):
+def test_repeated_requests_are_answered_alike(spark, entities):
     asked = scoring.parse_requests(registry.requests(spark, SMALL)).drop("body", "title")
     known = registry._snapshots(spark, SMALL)
-
-    def found(**kw):
-        joined = scoring.enrich_requests(asked, *known, **kw)
-        return joined.withColumn("tag_found", F.to_json("tag_found"))
-
-    assert same(found(), found(hot_rows=1))
+    once = scoring.enrich_requests(asked, *known).withColumn("tag_found", F.to_json("tag_found"))
+    twice = scoring.enrich_requests(asked.union(asked), *known)
+    twice = twice.withColumn("tag_found", F.to_json("tag_found"))
+    assert same(twice, once.union(once))
 
 
 def test_running_totals_with_some_hot_keys_and_ties(spark):
@@ -74,7 +51,6 @@ def test_running_totals_with_some_hot_keys_and_ties(spark):
         {"n": F.lit(1), "ids": F.col("id")},
         lags={"old": (F.lit(1), 30)},
         first="since",
-        hot_rows=10,
     )
     assert got.count() == events.count()
     b = events.select("k", F.col("t").alias("u"), F.col("id").alias("other"))
@@ -85,8 +61,12 @@ def test_running_totals_with_some_hot_keys_and_ties(spark):
         F.min("u").alias("since"),
     )
     assert same(got.select(pairs.columns), pairs)
-    hot = skew.hot_keys(events, ["k"], 10).collect()
-    assert [row.k for row in hot] == ["hot"]
+
+
+def test_running_totals_of_events_without_a_time(spark):
+    events = spark.createDataFrame([("a", None, 1), ("a", at("2020-01-01"), 2)], "k string, t timestamp, id int")
+    got = skew.running_totals(events, ["k"], "t", {"n": F.lit(1)}, inclusive=True, first="since")
+    assert sorted((r.id, r.n, r.since) for r in got.collect()) == [(1, 0, None), (2, 1, at("2020-01-01"))]
 
 
 # --- rules ------------------------------------------------------------------------------------
@@ -208,7 +188,7 @@ def test_separate_word_table_gives_the_same(spark, entities):
     apart = features.assemble_model_data(asked, *parts, nlp=questions_nlp(posts))
     fused = features.build_model_data(posts, ballots, entities["users"], entities["badges"])
     assert same(apart, fused)
-    kept = features.drop_reasons(asked, *parts).where("reason = 'kept'").head().n_questions
+    kept = features.drop_reasons(posts, entities["users"]).where("reason = 'kept'").head().n_questions
     assert kept == fused.count()
 
 
