@@ -33,12 +33,18 @@ FEW = 16
 ID = ["h1", "h2"]
 
 
-def _written(df):
-    """`df` as a compressed table in the shared folder."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+def _bucketed(df, columns):
+    """`df` as a compressed table in the shared folder, in buckets, so that joins needn't shuffle it.
+
+    The table's name is given up at once; its files stay in the shared folder.
+    """
+    spark, name = df.sparkSession, f"llm_{uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+    writer.bucketBy(buckets, *columns).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def _hashes(column):
@@ -59,21 +65,6 @@ def _place():
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k", "no")
 
 
-def _entry(i, width, same_length, at):
-    """The i-th segment's entry for a place in a line, as a function of the place."""
-
-    def entry(place):
-        segment = F.substring("rest", place, width)
-        return F.struct(
-            F.xxhash64("base", "l", F.lit(i), segment).alias("key"),
-            (F.col("l") - width).alias("l"),
-            (F.col("role") & same_length & (place == at)).alias("role"),
-            F.shiftleft(place.cast("long"), 32).bitwiseOR(width.cast("long")).alias("cut"),
-        )
-
-    return entry
-
-
 def _entries(rows, distance):
     """Index and probe entries of `rows`: base, id, what is left of a line as `rest`, `l`, `role`, `cuts`.
 
@@ -81,24 +72,37 @@ def _entries(rows, distance):
     `role` is of that length and is indexed too. An entry is a key, the length left to the indexed line,
     its role, and the cut taken out: place in the upper, length in the lower half of a number.
     """
-    n, l, parts = F.length("rest"), F.col("l"), distance + 1
-    longer = n - l
-    found = []
-    for i in range(1, parts + 1):
-        # even segments, the longer ones last
-        short, extra = F.floor(l / parts).cast("int"), l % parts
-        width = short + (F.lit(i) > parts - extra).cast("int")
-        at = 1 + (i - 1) * short + F.greatest(F.lit(0), F.lit(i - 1) - (parts - extra))
-        low = F.greatest(F.lit(1), at - (i - 1), at + longer - (parts - i))
-        high = F.least(n - width + 1, at + (i - 1), at + longer + (parts - i))
-        entry = _entry(i, width, (longer == 0), at)
-        found.append(
-            F.when((low <= high) & (width > 0), F.transform(F.sequence(low, high), entry)).otherwise(
-                F.array().cast("array<struct<key:bigint,l:int,role:boolean,cut:bigint>>")
-            )
-        )
+    parts = distance + 1
     kept = [c for c in rows.columns if c in (*ID, "cuts")]
-    return rows.select(*kept, F.inline(F.flatten(F.array(*found))))
+    # a segment has few places; steps in small expressions, so that each compiles on its own
+    choices = [
+        F.struct(F.lit(i).alias("i"), F.lit(step).alias("step"))
+        for i in range(1, parts + 1)
+        for step in range(2 * min(i - 1, parts - i) + 1)
+    ]
+    rows = rows.withColumn("longer", F.length("rest") - F.col("l")).select("*", F.inline(F.array(*choices)))
+    # even segments, the longer ones last
+    rows = rows.withColumns(
+        {"short": F.expr(f"int(l div {parts})"), "few": F.expr(f"{parts} - l % {parts}")}
+    )
+    rows = rows.withColumns(
+        {
+            "width": F.expr("short + int(i > few)"),
+            "at": F.expr("1 + (i - 1) * short + greatest(0, i - 1 - few)"),
+        }
+    )
+    rows = rows.withColumn("place", F.expr(f"greatest(1, at - (i - 1), at + longer - ({parts} - i)) + step"))
+    rows = rows.filter("width > 0").filter(
+        f"place <= least(l + longer - width + 1, at + (i - 1), at + longer + ({parts} - i))"
+    )
+    segment = F.expr("substring(rest, place, width)")
+    return rows.select(
+        *kept,
+        F.xxhash64("base", "l", "i", segment).alias("key"),
+        (F.col("l") - F.col("width")).alias("l"),
+        F.expr("role AND longer = 0 AND place = at").alias("role"),
+        F.expr("shiftleft(bigint(place), 32) | width").alias("cut"),
+    )
 
 
 def _first_rows(lines, distance):
@@ -266,10 +270,11 @@ def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
     """`doc_id`, `k` (hash of the text) and the `removed` line numbers, `n_exact` and `n_near`, of texts
     that lose a line."""
     lines = _occurrences(docs, id_col, text_col, "line")
-    lines = _written(
+    lines = _bucketed(
         lines.groupBy(*ID).agg(
             F.first("line").alias("line"), F.min(_place()).alias("first"), F.count("*").alias("n")
-        )
+        ),
+        ID,
     )
     near = near_earlier(lines, distance).withColumn("near", F.lit(True))
     repeated = lines.select(*ID, "first", "n").join(near, ID, "left").filter("near OR n > 1")
