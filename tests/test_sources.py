@@ -90,3 +90,40 @@ def test_upsert_snapshot(spark, tmp_path):
     (tmp_path / "snap" / "version=9").mkdir()  # an unfinished write is not read
     assert content(snapshots.read_snapshot(spark, path)) == {"a": 1, "b": 5, "c": 3}
     assert content(first) == {"a": 1, "b": 2}
+
+
+def test_one_dump_file_is_read_by_many_tasks(spark, tmp_path):
+    rows = "\n".join(
+        f'  <row Id="{i}" PostTypeId="1" Body="a/&gt; > b\n c &#xA;{i}" Title="t {i} " />' for i in range(3000)
+    )
+    (tmp_path / "cs-com.xml").write_text(f'<?xml version="1.0"?>\n<rows>\n{rows}\n</rows>\n')
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "20k")
+    try:
+        df = dump.read_entity(spark, "posts", str(tmp_path))
+        assert df.rdd.getNumPartitions() > 5
+        found = {r.id: (r.body, r.title) for r in df.collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert len(found) == 3000
+    assert found[17] == ("a/> > b  c \n17", "t 17 ")
+
+
+def test_failed_write_leaves_the_table(spark):
+    import pytest
+
+    tables.save_table(spark.range(5), "saved_twice")
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        tables.save_table(broken, "saved_twice")
+    assert spark.table("saved_twice").count() == 5
+    tables.save_table(spark.table("saved_twice").where("id > 1"), "saved_twice")
+    assert spark.table("saved_twice").count() == 3
+
+
+def test_repeated_keys_without_a_version(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "id string, n int")
+    for _ in range(2):
+        snap = snapshots.upsert_snapshot(rows, str(tmp_path / "snap"))
+        assert sorted(map(tuple, snap.collect())) == [("a", 3), ("b", 2)]
