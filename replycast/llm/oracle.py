@@ -44,7 +44,82 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+#: Measure of the quality rules, least distance of its fence, whether it can be too low.
+MEASURES = (
+    ("n_symbols / word_chars", 0.05, False),
+    ("n_exclamations / n_words", 0.3, False),
+    ("n_dup_lines / n_lines", 0.5, False),
+    ("n_repeat_words / n_words", 0.3, False),
+    ("word_chars / n_words", 2.0, True),
+)
+
+OP8 = f"""
+WITH d AS (
+  SELECT *, regexp_extract_all(body, '[^ \\t-\\r]+') AS words,
+    list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS lines
+  FROM (SELECT doc_id, lang, source, coalesce(text, '') AS body FROM documents)
+),
+runs AS (
+  SELECT doc_id, start, array_to_string(list_slice(words, start, start + 7), ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS start FROM d)
+),
+again AS (
+  SELECT doc_id, count(DISTINCT start + step) AS n
+  FROM (SELECT doc_id, start FROM runs QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1),
+    (SELECT unnest(range(8)) AS step)
+  GROUP BY doc_id
+),
+counts AS (
+  SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(length(body) - length(replace(body, '!', '')) AS BIGINT) AS n_exclamations,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN again USING (doc_id)
+),
+measured AS (
+  SELECT doc_id, lang, source, unnest(range({len(MEASURES)})) AS measure,
+    unnest([{", ".join(m for m, _, _ in MEASURES)}]) AS value
+  FROM counts WHERE n_words > 0
+),
+bins AS (
+  SELECT lang, source, measure,
+    CASE WHEN value > 0 THEN pow(1.02, ceil(ln(value) / ln(1.02)) - 0.5) ELSE 0 END AS middle,
+    count(*) AS n
+  FROM measured GROUP BY ALL
+),
+quantiles AS (
+  SELECT lang, source, measure, min(middle) FILTER (WHERE upto >= 0.25 * total) AS quarter,
+    min(middle) FILTER (WHERE upto >= 0.5 * total) AS half
+  FROM (
+    SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY middle) AS upto,
+      sum(n) OVER (PARTITION BY lang, source, measure) AS total
+    FROM bins)
+  GROUP BY lang, source, measure
+),
+fences AS (
+  SELECT *, greatest(6.0 * (half - quarter),
+      list_extract([{", ".join(str(floor) for _, floor, _ in MEASURES)}], measure + 1)) AS beyond,
+    list_extract([{", ".join(str(low).lower() for _, _, low in MEASURES)}], measure + 1) AS has_low
+  FROM quantiles
+),
+outside AS (
+  SELECT DISTINCT doc_id
+  FROM measured m JOIN fences f ON m.measure = f.measure
+    AND m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
+  WHERE value > half + beyond OR has_low AND value < half - beyond
+)
+SELECT counts.* EXCLUDE (lang, source),
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+    AND doc_id NOT IN (SELECT doc_id FROM outside WHERE doc_id IS NOT NULL) AS kept
+FROM counts
+"""
+
 SQL = {
     "op6_exact_dedup": OP6,
     "op7_substring_dedup": OP7,
+    "op8_quality_rules": OP8,
 }
