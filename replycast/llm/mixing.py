@@ -51,7 +51,8 @@ def _copies(rows, goals, seed):
     within a bucket give the words that precede a row, so no task holds a whole source. The rows whose
     middle lies before the fractional part of the target get the extra repetition.
     """
-    drawn = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    drawn = F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long")
     rows = rows.withColumn("draw", drawn).withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)))
     key = ["source", "bucket"]
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,5 +1,44 @@
 """DuckDB SQL with the same results as the registered queries, where SQL can express them."""
 
+OP1 = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS size,
+    CAST('0x' || substr(md5('17:' || doc_id), 1, 15) AS BIGINT) AS draw
+  FROM documents
+),
+sources AS (
+  SELECT *, 3.0 * size AS cap, 1.0 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS size FROM d GROUP BY source)
+),
+-- sources by what they can give for their weight: the first ones are clamped
+ordered AS (
+  SELECT *, row_number() OVER w AS place, lead(cap / weight) OVER w AS next_ratio,
+    (sum(size) OVER () - sum(cap) OVER upto) / nullif(sum(weight) OVER () - sum(weight) OVER upto, 0) AS level
+  FROM sources
+  WINDOW w AS (ORDER BY cap / weight, source),
+    upto AS (ORDER BY cap / weight, source ROWS UNBOUNDED PRECEDING)
+),
+final AS (
+  SELECT coalesce(
+    (SELECT sum(size) / sum(weight) FROM sources
+     HAVING min(cap / weight) >= sum(size) / sum(weight)),
+    (SELECT level FROM ordered WHERE next_ratio >= level ORDER BY place LIMIT 1)) AS level
+),
+goals AS (
+  SELECT source, size AS source_size, least(weight * level, cap) AS target FROM sources, final
+),
+placed AS (
+  SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS epochs,
+    sum(size) OVER (PARTITION BY g.source ORDER BY draw % 1024, draw, doc_id, size
+                    ROWS UNBOUNDED PRECEDING) - size / 2.0 AS middle
+  FROM d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(size * (epochs + CASE WHEN middle < target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT)
+    AS taken
+FROM placed
+"""
+
 OP6 = """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS size,
@@ -119,6 +158,7 @@ FROM counts
 """
 
 SQL = {
+    "op1_mixing": OP1,
     "op6_exact_dedup": OP6,
     "op7_substring_dedup": OP7,
     "op8_quality_rules": OP8,
