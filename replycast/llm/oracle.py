@@ -39,6 +39,50 @@ SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
+OP3 = """
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+    unnest(range(len(string_split(text, chr(10))))) AS no
+  FROM documents WHERE text IS NOT NULL
+),
+places AS (SELECT * FROM split WHERE length(line) >= 20),
+lines AS (
+  SELECT line, length(line) AS size, min({'doc': doc_id, 'no': no}) AS first FROM places GROUP BY line
+),
+-- lines at most one edit apart share their first or their last half, by the shorter one's length
+longer AS (SELECT *, size - unnest([0, 1]) AS other FROM lines),
+candidates AS (
+  SELECT a.line AS a, b.line AS b, a.first AS first_a, b.first AS first_b
+  FROM lines a JOIN longer b ON b.other = a.size AND left(a.line, a.size // 2) = left(b.line, b.other // 2)
+  UNION
+  SELECT a.line, b.line, a.first, b.first
+  FROM lines a JOIN longer b
+    ON b.other = a.size AND right(a.line, a.size - a.size // 2) = right(b.line, b.other - b.other // 2)
+),
+near AS (
+  SELECT DISTINCT CASE WHEN first_a > first_b THEN a ELSE b END AS line
+  FROM candidates
+  WHERE a <> b AND CASE
+    WHEN length(a) = length(b) THEN 1 = len(list_filter(range(1, length(a) + 1),
+      lambda i: substr(a, i, 1) <> substr(b, i, 1)))
+    ELSE 0 < len(list_filter(range(0, length(a) + 1),
+      lambda i: left(a, i) = left(b, i) AND substr(a, i + 1) = substr(b, i + 2))) END
+),
+gone AS (
+  SELECT doc_id, no, {'doc': doc_id, 'no': no} > first AS later
+  FROM places JOIN lines USING (line)
+  WHERE {'doc': doc_id, 'no': no} > first OR line IN (SELECT line FROM near)
+),
+per_document AS (
+  SELECT doc_id, count(*) FILTER (WHERE later) AS n_exact, count(*) FILTER (WHERE NOT later) AS n_near,
+    string_agg(CAST(no AS VARCHAR), ',' ORDER BY no) AS removed
+  FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
+  coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near, coalesce(removed, '') AS removed
+FROM documents LEFT JOIN per_document USING (doc_id)
+"""
+
 OP6 = """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS size,
@@ -159,6 +203,7 @@ FROM counts
 
 SQL = {
     "op1_mixing": OP1,
+    "op3_line_dedup": OP3,
     "op6_exact_dedup": OP6,
     "op7_substring_dedup": OP7,
     "op8_quality_rules": OP8,
