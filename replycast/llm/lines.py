@@ -161,62 +161,97 @@ def _candidates(lines, distance):
         entries = _entries(rows.filter(F.col("l") > distance).drop("first"), distance)
 
 
+def _let(value, function):
+    """`function` of a value that is computed once."""
+    return F.transform(F.array(value), function)[0]
+
+
+def _without_common_ends(a, b):
+    """Two texts without what both begin or end with, which does not change their distance.
+
+    Ends go in pieces of falling size, so up to a few characters can be left.
+    """
+    sizes = F.array(*(F.lit(1 << k) for k in range(14, 2, -1)))
+
+    def shorten(piece, rest):
+        def step(s, size):
+            same = (piece(s["a"], size) == piece(s["b"], size)) & (
+                F.least(F.length(s["a"]), F.length(s["b"])) >= size
+            )
+            return F.when(same, F.struct(*(rest(s[c], size).alias(c) for c in "ab"))).otherwise(s)
+
+        return step
+
+    begun = F.aggregate(
+        sizes,
+        F.struct(a.alias("a"), b.alias("b")),
+        shorten(F.left, lambda text, size: F.right(text, F.length(text) - size)),
+    )
+    return F.aggregate(
+        sizes, begun, shorten(F.right, lambda text, size: F.left(text, F.length(text) - size))
+    )
+
+
 def within(a, b, distance):
     """Whether two texts are at most `distance` edits apart: a banded automaton kept in bits.
 
-    Bit k of the e-th number says that e edits can lead to the diagonal k - `distance`, where the place
+    Common ends are cut off first. Bit k of the e-th number says that e edits can lead to the diagonal k - `distance`, where the place
     in the one text is that much ahead of the place in the other. A step takes one character of `b`: a
     match and a substitution stay on a diagonal, an insertion leaves it downwards, a deletion upwards.
     """
-    x, y = F.split(a, ""), F.split(b, "")
     everywhere = (1 << (2 * distance + 1)) - 1
     names = [f"r{e}" for e in range(distance + 1)]
 
     def bits(column):
         return column.bitwiseAND(F.lit(everywhere).cast("long"))
 
-    def step(state, char):
-        match = F.lit(0).cast("long")
+    def matches(x, state, char):
+        found = F.lit(0).cast("long")
         for k in range(2 * distance + 1):
             same = F.get(x, state["i"] + (k - distance)) == char
-            match = match + F.when(same, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long"))
-        return F.struct(state["i"].alias("i"), match.alias("m"), *(state[r].alias(r) for r in names))
+            found = found + F.when(same, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long"))
+        return F.struct(found.alias("m"), *(state[r].alias(r) for r in names))
 
-    def advance(state, char):
-        dead = F.lit(True)
-        for r in names:
-            dead &= state[r] == 0
-        moved = F.transform(F.array(step(state, char)), lambda s: _next(s))[0]
-        return F.when(dead, state).otherwise(moved)
-
-    def _next(s):
+    def moved(state):
         new = []
         for e, r in enumerate(names):
-            value = s[r].bitwiseAND(s["m"])
+            value = state[r].bitwiseAND(state["m"])
             if e:
-                left = s[names[e - 1]]
+                left = state[names[e - 1]]
                 value = value.bitwiseOR(left).bitwiseOR(F.shiftright(left, 1))
                 value = value.bitwiseOR(bits(F.shiftleft(new[-1], 1)))
             new.append(value)
-        return F.struct((s["i"] + 1).alias("i"), *(v.alias(r) for v, r in zip(new, names)))
+        return [value.alias(r) for value, r in zip(new, names)]
+
+    def step(x, state, char):
+        # the last number has every diagonal that the others have
+        dead = state[names[-1]] == 0
+        after = _let(matches(x, state, char), lambda s: F.struct((state["i"] + 1).alias("i"), *moved(s)))
+        return F.when(dead, state).otherwise(after)
 
     start = [sum(1 << (distance + d) for d in range(e + 1)) for e in range(distance + 1)]
     state = F.struct(
         F.lit(0).alias("i"), *(F.lit(v).cast("long").alias(r) for v, r in zip(start, names))
     )
 
-    def accepted(state):
-        ever = state[names[0]]
-        for r in names[1:]:
-            ever = ever.bitwiseOR(state[r])
-        set_bits = [
-            F.shiftright(ever, k).bitwiseAND(F.lit(1).cast("long")) == 1 for k in range(2 * distance + 1)
-        ]
-        end = F.length(a) - F.length(b) + distance
-        return F.coalesce(F.get(F.array(*set_bits), end), F.lit(False))
-
-    empty = F.length(b) == 0
-    return F.when(empty, F.length(a) <= distance).otherwise(F.aggregate(y, state, advance, accepted))
+    def accepted(texts):
+        end = F.size(texts["x"]) - F.size(texts["y"]) + distance
+
+        def finish(state):
+            ever = state[names[-1]]
+            set_bits = [
+                F.shiftright(ever, k).bitwiseAND(F.lit(1).cast("long")) == 1 for k in range(2 * distance + 1)
+            ]
+            return F.coalesce(F.get(F.array(*set_bits), end), F.lit(False))
+
+        return F.aggregate(texts["y"], state, lambda s, c: step(texts["x"], s, c), finish)
+
+    def rest_within(rest):
+        shorter, longer = (f(F.length(rest["a"]), F.length(rest["b"])) for f in (F.least, F.greatest))
+        texts = F.struct(F.split(rest["a"], "").alias("x"), F.split(rest["b"], "").alias("y"))
+        return F.when(shorter == 0, longer <= distance).otherwise(_let(texts, accepted))
+
+    return _let(_without_common_ends(a, b), rest_within)
 
 
 def _ended(rows, distance):
