@@ -313,7 +313,8 @@ def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
     )
     near = near_earlier(lines, distance).withColumn("near", F.lit(True))
     repeated = lines.select(*ID, "first", "n").join(near, ID, "left").filter("near OR n > 1")
-    repeated = repeated.select(*ID, "first", F.coalesce("near", F.lit(False)).alias("near"))
+    # written, so that the join reads shuffles on both sides and a line in very many places is split
+    repeated = saved(repeated.select(*ID, "first", F.coalesce("near", F.lit(False)).alias("near")))
     found = _occurrences(docs, id_col, text_col).join(repeated, ID)
     found = found.withColumn("later", _place() > F.col("first")).filter("later OR near")
     return found.groupBy("doc_id", "k").agg(
