@@ -17,7 +17,9 @@ import ahocorasick
 import regex
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, travels, worker_memory
+
+travels(__name__)
 
 #: Chunks, pieces and pairs of tokens a Python worker remembers of each; beyond that it starts anew.
 REMEMBERED = 500_000
@@ -229,16 +231,13 @@ class _Known(dict):
         return found
 
 
-_ENCODERS = {}
-
-
 def _encoder(lines, pattern):
     """One encoder for a worker, with what it remembers."""
-    key = hash((lines, pattern))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(Vocabulary.parse(lines), pattern)
-    return _ENCODERS[key]
+    memory, key = worker_memory(), (hash(lines), pattern)
+    if memory.get("encoder_of") != key:
+        memory["encoder"] = Encoder(Vocabulary.parse(lines), pattern)
+        memory["encoder_of"] = key
+    return memory["encoder"]
 
 
 def _shared_lines(spark, path):

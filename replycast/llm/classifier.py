@@ -10,6 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from .common import travels
+
+travels(__name__)
+
 #: At most about this many labelled documents are learned from, chosen by a hash of their ids.
 SAMPLE = 12_000
 #: Hash buckets of n-grams, as a power of two.
@@ -194,11 +198,12 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="quality", lea
 
 def score_column(spark, model, text_col="text"):
     """Scores between 0 and 1 of a text column; higher means class 1 is likelier."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(vars(model))
 
     @F.arrow_udf("double")
     def scores(texts: pa.Array) -> pa.Array:
-        unique, model = Unique(), shared.value
+        unique, model = Unique(), Model.__new__(Model)
+        vars(model).update(shared.value)
         return pa.array((model.score(unique(ngrams(t.as_py()))) for t in texts), pa.float64())
 
     return scores(F.col(text_col))

@@ -1,6 +1,10 @@
 """What the operators share: words, white space, saved tables, Arrow batches."""
 
+import sys
+from types import ModuleType
+
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -10,6 +14,19 @@ BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 BLANK = "[ \\t-\\r]"
 
 
+def travels(name):
+    """Let a module's code travel inside tasks, so executors need not have the package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
+travels(__name__)
+
+
+def worker_memory():
+    """Dictionary that stays with a Python worker from task to task."""
+    return vars(sys.modules.setdefault("replycast_worker_memory", ModuleType("replycast_worker_memory")))
+
+
 def words(text):
     """Words (runs without white space) of a text column; none for a null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{BLANK}+"), "")

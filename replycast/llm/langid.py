@@ -11,7 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, travels
+
+travels(__name__)
 
 #: At most about this many documents are learned from, chosen by a hash of their ids.
 SAMPLE = 40_000

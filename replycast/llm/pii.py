@@ -12,7 +12,9 @@ import re
 import ahocorasick
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, travels, worker_memory
+
+travels(__name__)
 
 #: Kinds in the order of the result: those every result has, then those the cues add.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -142,13 +144,11 @@ def _automaton():
     return cues
 
 
-_CUES = None
-
-
 def spans(text):
     """Spans of a text by kind: lists of (start, end)."""
-    global _CUES
-    _CUES = _CUES or _automaton()
+    memory = worker_memory()
+    if "cues" not in memory:
+        memory["cues"] = _automaton()
     found = {kind: [] for kind in KINDS}
     if not text:
         return found
@@ -163,7 +163,7 @@ def spans(text):
                 found[kind].append(span[:2])
 
     digits_end = 0
-    for end, cue in _CUES.iter(text):
+    for end, cue in memory["cues"].iter(text):
         if cue == "0":
             # runs of digits are expanded from their first digit
             if end >= digits_end:

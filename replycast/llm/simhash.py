@@ -12,9 +12,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from .common import row_hashes, saved
+from .common import row_hashes, saved, travels
 from .components import components
 
+travels(__name__)
+
 SEED = 42
 WORDS = 4
 #: Fingerprints of a group are dealt into parts of about this size; each pair of parts is one cell.

@@ -24,6 +24,10 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .common import travels
+
+travels(__name__)
+
 WINDOW = 35
 ANCHOR = 8
 SECOND_SEED = 7
