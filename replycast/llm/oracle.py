@@ -133,6 +133,7 @@ MEASURES = (
     ("n_exclamations / n_words", 0.3, False),
     ("n_dup_lines / n_lines", 0.5, False),
     ("n_repeat_words / n_words", 0.3, False),
+    ("n_stutters / n_words", 0.1, False),
     ("word_chars / n_words", 2.0, True),
 )
 
@@ -159,7 +160,8 @@ counts AS (
     CAST(length(body) - length(replace(body, '!', '')) AS BIGINT) AS n_exclamations,
     CAST(len(lines) AS BIGINT) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    CAST(len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1])) AS BIGINT) AS n_stutters
   FROM d LEFT JOIN again USING (doc_id)
 ),
 measured AS (

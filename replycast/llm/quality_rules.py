@@ -26,6 +26,7 @@ MEASURES = (
     ("exclamation_rate", "n_exclamations / n_words", 0.3),
     ("dup_line_rate", "n_dup_lines / n_lines", 0.5),
     ("repeat_rate", "n_repeat_words / n_words", 0.3),
+    ("stutter_rate", "n_stutters / n_words", 0.1),
     ("word_length", "word_chars / n_words", 2.0),
 )
 #: Measures that can also be too low.
@@ -71,7 +72,10 @@ def _covered(placed_col, size):
 
 
 def measure(docs, id_col="doc_id", text_col="text", lang_col="lang", source_col="source"):
-    """Counts of each document: words, their characters, symbols, repeated lines and words."""
+    """Counts of each document: words, their characters, symbols, repeated lines and words.
+
+    A stutter is a word that equals the next one.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -81,6 +85,7 @@ def measure(docs, id_col="doc_id", text_col="text", lang_col="lang", source_col=
         words(text).alias("words"),
         F.filter(F.split(text, "\n"), lambda x: F.length(without_blanks(x)) > 0).alias("lines"),
     )
+    stutters = F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: a.eqNullSafe(b))
     removed = lambda pattern: F.length("text") - F.length(F.regexp_replace("text", pattern, ""))
     rows = rows.withColumn("runs", _shingles("words", WINDOW))
     repeats = F.size(F.array_distinct("runs")) < F.size("runs")
@@ -93,6 +98,7 @@ def measure(docs, id_col="doc_id", text_col="text", lang_col="lang", source_col=
         "n_lines": F.size("lines"),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         "n_repeat_words": F.coalesce(_covered("placed", WINDOW), F.lit(0)),
+        "n_stutters": F.size(F.array_remove(stutters, False)),
     }
     return rows.select(
         "doc_id", "lang", "source", *(c.cast("long").alias(n) for n, c in counts.items())

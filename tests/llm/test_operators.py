@@ -417,9 +417,9 @@ def test_quality_counts_and_verdicts(spark):
 def test_sketches_merge_and_are_near_the_quantiles(spark):
     rng = random.Random(11)
     rows = [
-        (i, "x", "s", n, n * rng.randint(2, 9), 0, 0, 1, 0, 0) for i in range(400) for n in [rng.randint(20, 90)]
+        (i, "x", "s", n, n * rng.randint(2, 9), 0, 0, 1, 0, 0, 0) for i in range(400) for n in [rng.randint(20, 90)]
     ]
-    names = ["n_words", "word_chars", "n_symbols", "n_exclamations", "n_lines", "n_dup_lines", "n_repeat_words"]
+    names = ["n_words", "word_chars", "n_symbols", "n_exclamations", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters"]
     table = spark.createDataFrame(rows, f"doc_id long, lang string, source string, {', '.join(n + ' long' for n in names)}")
     key = ["lang", "source", "name", "bin"]
     halves = [quality_rules.sketch(table.filter(f"doc_id % 2 = {k}")) for k in (0, 1)]
