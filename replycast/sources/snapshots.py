@@ -25,12 +25,13 @@ def merge_snapshot(current, updates, key="id", version=None):
     return kept.unionByName(newest.select(current.columns))
 
 
-def _versions(spark, path):
-    """Finished versions of a snapshot, as numbers in order."""
+def _versions(spark, path, begun=False):
+    """Finished versions of a snapshot, as numbers in order; with `begun`, unfinished ones too."""
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/version=*" + ("" if begun else "/_SUCCESS"))
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [status.getPath().getParent().getName() for status in fs.globStatus(pattern)]
+    places = [status.getPath() for status in fs.globStatus(pattern)]
+    names = [(place if begun else place.getParent()).getName() for place in places]
     return sorted(int(name.partition("=")[2]) for name in names)
 
 
@@ -42,7 +43,8 @@ def read_snapshot(spark, path):
 def upsert_snapshot(updates, path, key="id", version=None):
     """Write `updates` over the snapshot at `path`, as a new version beside the old ones.
 
-    Readers keep the version they opened, and a failed write leaves the last one in force.
+    Readers keep the version they opened, and a failed write leaves the last one in force. A number
+    that another writer has begun is never written to: the later one of two fails.
     """
     spark = updates.sparkSession
     done = _versions(spark, path)
@@ -50,6 +52,6 @@ def upsert_snapshot(updates, path, key="id", version=None):
         rows = merge_snapshot(read_snapshot(spark, path), updates, key, version)
     else:
         rows = latest_per_key(updates, key, version)
-    number = done[-1] + 1 if done else 1
-    rows.write.mode("overwrite").parquet(f"{path}/version={number}")
+    number = max([0, *_versions(spark, path, begun=True)]) + 1
+    rows.write.mode("errorifexists").parquet(f"{path}/version={number}")
     return read_snapshot(spark, path)
