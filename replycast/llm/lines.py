@@ -15,6 +15,12 @@ cannot lose a pair: what is left of two lines is within the distance if the line
 hardly a character is left. With a distance of 1 cuts lie at one place in both lines, so lines whose rests
 match are within it, and all lines with the same rest are one. With larger distances these last groups,
 whose lines agree in all but a few characters, are paired and verified like the others.
+
+With `share`, a line also goes if an earlier one is within one edit of whole words for each `share` words of
+the longer of the two. Such lines have a run of `RUN` words in common, whatever their length: with k edits
+allowed, the longer one has `share` * k words or more, at most k of them edited, so the others lie in k + 1
+runs at most. Each line is entered under the least hash of the `GRAM`-word runs in each window of `RUN`
+words, so two lines with such a run share a key, and pairs with a common key are verified.
 """
 
 from uuid import uuid4
@@ -22,13 +28,19 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import saved
+from .alike import checked_pairs
+from .common import saved, words
 
 MIN_CHARS = 20
 DISTANCE = 1
 SECOND_SEED = 7
 #: Groups are paired if that gives at most this many pairs for each entry.
 FEW = 16
+#: Words for each word edit, and the words that two lines within these edits have in common in one run.
+SHARE = 20
+RUN = 10
+#: Words of the runs that are hashed.
+GRAM = 6
 
 ID = ["h1", "h2"]
 
@@ -301,7 +313,73 @@ def near_earlier(lines, distance=DISTANCE):
     return found.distinct()
 
 
-def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
+def _keys(tokens):
+    """Least hash of the `GRAM`-word runs in each window of `RUN` words, each once, of an array of words."""
+
+    def joined(column, step, function):
+        return F.zip_with(column, F.slice(column, step + 1, F.size(column)), function)
+
+    def shortened(column, by):
+        return F.slice(column, 1, F.greatest(F.size(column) - by, F.lit(0)))
+
+    def over(column, size, function):
+        """`function` over each run of `size`: of runs half as long that may overlap."""
+        if size == 1:
+            return column
+        half = (size + 1) // 2
+        return _let(
+            over(column, half, function), lambda c: shortened(joined(c, size - half, function), size - half)
+        )
+
+    grams = over(F.transform(tokens, lambda w: F.xxhash64(w)), GRAM, lambda a, b: F.xxhash64(a, b))
+    return F.array_distinct(over(grams, RUN - GRAM + 1, lambda a, b: F.least(a, b)))
+
+
+def _as_characters(tokens, seed):
+    """A text with one character for each word, by a hash of the word."""
+    points = F.transform(
+        tokens,
+        lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(F.lit(seed), w), F.lit(1 << 20)) + (1 << 16)), 8, "0"),
+    )
+    return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
+
+
+def near_earlier_by_words(lines, share=SHARE):
+    """Ids of the lines (h1, h2, line, first) with an earlier line within the word edits of `share`.
+
+    Words are compared by two hashes of 20 bits: both must give that few edits.
+    """
+    if -(-(share - 1) // 2) < RUN:
+        raise ValueError(f"share must be {2 * RUN} or more")
+    tokens = words(F.col("line"))
+    entries = lines.select(*ID, tokens.alias("tokens")).filter(F.size("tokens") >= share - 1)
+    entries = entries.select(*ID, F.size("tokens").alias("n"), F.explode(_keys(F.col("tokens"))).alias("key"))
+
+    def check(pairs):
+        for side in "ab":
+            ends = lines.select(
+                F.col("h1").alias(f"{side}1"), F.col("h2").alias(f"{side}2"), tokens.alias(f"{side}_words")
+            )
+            pairs = pairs.join(ends, [f"{side}1", f"{side}2"])
+        edits = F.floor(F.greatest(F.size("a_words"), F.size("b_words")) / share).cast("int")
+        pairs = pairs.withColumn("edits", edits)
+        for seed in (1, 2):
+            a, b = (_as_characters(F.col(f"{side}_words"), seed) for side in "ab")
+            pairs = pairs.withColumns({"a": a, "b": b}).filter("levenshtein(a, b, edits) >= 0")
+        return pairs.select("a1", "a2", "b1", "b2")
+
+    firsts = lines.select(*ID, "first")
+    pairs = checked_pairs(entries, check, 1 - 1 / share, firsts)
+    for side in "ab":
+        ends = firsts.select(*(F.col(c).alias(f"{side}{c[1]}") for c in ID), F.col("first").alias(f"{side}_first"))
+        pairs = pairs.join(ends, [f"{side}1", f"{side}2"])
+    later = F.col("a_first") > F.col("b_first")
+    return pairs.select(
+        *(F.when(later, F.col(f"a{n}")).otherwise(F.col(f"b{n}")).alias(f"h{n}") for n in (1, 2))
+    ).distinct()
+
+
+def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE, share=None):
     """`doc_id`, `k` (hash of the text) and the `removed` line numbers, `n_exact` and `n_near`, of texts
     that lose a line."""
     lines = _occurrences(docs, id_col, text_col, "line")
@@ -311,7 +389,10 @@ def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
         ),
         ID,
     )
-    near = near_earlier(lines, distance).withColumn("near", F.lit(True))
+    near = near_earlier(lines, distance)
+    if share is not None:
+        near = near.unionByName(near_earlier_by_words(lines, share)).distinct()
+    near = near.withColumn("near", F.lit(True))
     repeated = lines.select(*ID, "first", "n").join(near, ID, "left").filter("near OR n > 1")
     # written, so that the join reads shuffles on both sides and a line in very many places is split
     repeated = saved(repeated.select(*ID, "first", F.coalesce("near", F.lit(False)).alias("near")))
@@ -324,9 +405,9 @@ def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
     )
 
 
-def line_dedup(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
+def line_dedup(docs, id_col="doc_id", text_col="text", distance=DISTANCE, share=None):
     """Of each document `n_lines`, `n_exact`, `n_near` and the numbers of `removed` lines, from 0."""
-    removed = removed_lines(docs, id_col, text_col, distance).withColumnsRenamed({"doc_id": "r", "k": "rk"})
+    removed = removed_lines(docs, id_col, text_col, distance, share).withColumnsRenamed({"doc_id": "r", "k": "rk"})
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.xxhash64(F.col(text_col)).alias("k"),
@@ -342,9 +423,9 @@ def line_dedup(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
     )
 
 
-def without_removed(docs, id_col="doc_id", text_col="text", distance=DISTANCE):
+def without_removed(docs, id_col="doc_id", text_col="text", distance=DISTANCE, share=None):
     """The rows of `docs`, their texts without the removed lines; other columns stay as they are."""
-    removed = removed_lines(docs, id_col, text_col, distance).withColumnsRenamed({"doc_id": "r", "k": "rk"})
+    removed = removed_lines(docs, id_col, text_col, distance, share).withColumnsRenamed({"doc_id": "r", "k": "rk"})
     rows = docs.select(
         F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("k")
     )

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from replycast.llm import (
-    bpe, classifier, components, exact, langid, lines, mixing, pii, quality_rules, simhash, substrings,
+    alike, bpe, classifier, components, exact, langid, lines, mixing, pii, quality_rules, simhash, substrings,
 )
 
 WORD = re.compile("[^ \t-\r]+")
@@ -191,6 +191,47 @@ def test_line_dedup(spark, monkeypatch, distance, few, letters):
         assert texts[i] == want
 
 
+def _removed_by_words(docs, share):
+    gone, seen = set(), []
+    for i, text in docs:
+        for no, line in enumerate(text.split("\n")):
+            tokens = line.split()
+            if any(
+                line == s or _distance(t, tokens) <= max(len(t), len(tokens)) // share
+                or abs(len(s) - len(line)) <= 1 and _distance(s, line) <= 1
+                for s, t in seen
+            ):
+                gone.add((i, no))
+            seen.append((line, tokens))
+    return gone
+
+
+@pytest.mark.parametrize("few", [16, 1])
+def test_line_dedup_by_words(spark, monkeypatch, few):
+    """Lines of 18 to 85 words with up to five changed ones; also with every group a large one."""
+    monkeypatch.setattr(alike, "FEW", few)
+    rng = random.Random(few)
+    vocabulary = [f"word{i}" for i in range(400)]
+    base = [rng.choices(vocabulary, k=rng.choice([18, 19, 20, 21, 39, 40, 41, 60, 85])) for _ in range(12)]
+    base.append(base[-1][:30] + rng.choices(vocabulary, k=30))
+
+    def edited():
+        tokens = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 5])):
+            at = rng.randrange(len(tokens))
+            tokens[at : at + rng.choice([0, 1, 1])] = rng.choice([[], [rng.choice(vocabulary)]])
+        return " ".join(tokens)
+
+    docs = [(i, "\n".join(edited() for _ in range(rng.randint(1, 4)))) for i in range(50)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {
+        (r["doc_id"], no) for r in lines.line_dedup(table, share=lines.SHARE).collect() for no in r["removed"]
+    }
+    want = _removed_by_words(docs, lines.SHARE)
+    assert got == want
+    assert len(want) > len(_removed(docs, 1))
+
+
 # personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
