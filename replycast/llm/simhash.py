@@ -3,6 +3,11 @@
 Texts without words, null ones included, have fingerprint 0 and are linked like any other. Repeated rows
 share their fingerprint. A null id sorts after all others: it names a component only if no row of that has
 an id. An empty table gives an empty table. Only the id and text columns are read.
+
+Few bits of a fingerprint change only between texts that are nearly equal: at a similarity of 0.8, about 10
+of 64. `keep_unlike` therefore takes pairs from two sources, linked fingerprints and common bands of least
+shingle hashes, and verifies each by the exact Jaccard similarity of the shingle sets. A pair at 0.8 misses
+all bands with a chance of (1 - 0.8^`BAND_ROWS`)^`BANDS`, about two in a million.
 """
 
 from itertools import combinations
@@ -12,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from .alike import checked_pairs
 from .common import row_hashes, saved, travels
 from .components import components
 
@@ -25,6 +31,12 @@ PART = 2048
 FANOUT = 16
 #: Pairs of nodes looked at at once.
 FRONT = 1 << 18
+#: Words of a shingle and least similarity of the texts that `keep_unlike` takes as near copies.
+SHINGLE = 5
+SIMILAR = 0.8
+#: Bands of least hashes, and least hashes of a band.
+BANDS = 25
+BAND_ROWS = 4
 
 
 def fingerprint(text, size=WORDS):
@@ -263,3 +275,114 @@ def keep_first(docs, id_col="doc_id", text_col="text", distance=4, size=WORDS):
     whole = docs.select(F.struct("*").alias("row"), *hashes)
     whole = whole.groupBy("h1", "h2").agg(F.first("row").alias("row"))
     return whole.join(firsts, ["h1", "h2"]).select("row.*")
+
+
+def shingles(text, size=SHINGLE):
+    """Set of the runs of `size` words of a text; of a shorter text all its words."""
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def band_keys(found):
+    """A key for each band of least hashes of a set of shingles."""
+    hashes = np.array([xxhash.xxh64_intdigest(x, SEED) for x in found] or [0], np.uint64)
+    rng = np.random.default_rng(SEED)
+    draws = rng.integers(1 << 63, size=(BANDS, BAND_ROWS, 2), dtype=np.uint64)
+    keys = []
+    for band, row_draws in enumerate(draws):
+        least = [((hashes ^ x) * (y | np.uint64(1))).min() for x, y in row_draws]
+        keys.append(xxhash.xxh64_intdigest(np.array(least).tobytes(), band))
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def _described(docs, id_col, text_col, size):
+    """Of each row its id, `r1`, `r2` of id and text, `h1`, `h2` of its words, fingerprint, `n`, `keys`."""
+
+    def describe(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                rows = []
+                for text in part.column(3).to_pylist():
+                    found, line = shingles(text, size), b" ".join((text or "").encode().lower().split())
+                    ids = [np.uint64(xxhash.xxh64_intdigest(line, s)).view(np.int64) for s in (SEED, SEED + 1)]
+                    rows.append((*map(int, ids), fingerprint(text, size), len(found), band_keys(found)))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                told = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], *told],
+                    names=["doc_id", "r1", "r2", "h1", "h2", "fingerprint", "n", "keys"],
+                )
+
+    r1, r2 = (h.alias(f"r{n}") for n, h in enumerate(row_hashes(id_col, text_col), 1))
+    rows = docs.select(F.col(id_col).alias("doc_id"), r1, r2, F.col(text_col).alias("text"))
+    kind = dict(rows.dtypes)["doc_id"]
+    return rows.mapInArrow(
+        describe,
+        f"doc_id {kind}, r1 long, r2 long, h1 long, h2 long, fingerprint long, n long, keys array<long>",
+    )
+
+
+def _similar(size, least):
+    """Column function: whether two texts' shingle sets have a Jaccard similarity of `least` or more."""
+
+    @F.arrow_udf("boolean")
+    def similar(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(a, b):
+            x, y = shingles(x.as_py(), size), shingles(y.as_py(), size)
+            common = len(x & y)
+            out.append(common >= least * (len(x) + len(y) - common) - 1e-9)
+        return pa.array(out, pa.bool_())
+
+    return similar
+
+
+def keep_unlike(docs, id_col="doc_id", text_col="text", size=SHINGLE, least=SIMILAR, distance=4):
+    """The rows of `docs`, one of each component of similar texts, chosen as by `keep_first`.
+
+    Texts are similar if the sets of their `size`-word shingles have a Jaccard similarity of `least` or
+    more. Texts with the same words are one; candidates are pairs of these.
+    """
+    rows = saved(_described(docs, id_col, text_col, size))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r1", "r2")
+    classes = rows.groupBy("h1", "h2").agg(
+        F.min(place).alias("first"), F.first("n").alias("n"), F.first("fingerprint").alias("fingerprint")
+    )
+    classes = saved(classes)
+    whole = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), *row_hashes(id_col, text_col))
+    whole = whole.withColumnsRenamed({"h1": "r1", "h2": "r2"})
+    similar = _similar(size, least)
+
+    def check(pairs):
+        pairs = saved(pairs)
+        ids = [pairs.select(F.col(f"{s}1").alias("h1"), F.col(f"{s}2").alias("h2")) for s in "ab"]
+        places = ids[0].unionByName(ids[1]).distinct().join(classes, ["h1", "h2"])
+        places = places.select("h1", "h2", F.col("first.r1").alias("r1"), F.col("first.r2").alias("r2"))
+        texts = places.join(whole.select("r1", "r2", "text"), ["r1", "r2"])
+        texts = saved(texts.groupBy("h1", "h2").agg(F.first("text").alias("text")))
+        for s in "ab":
+            ends = texts.select(*(F.col(c).alias(f"{s}{c[1]}") for c in ("h1", "h2")), F.col("text").alias(s))
+            pairs = pairs.join(ends, [f"{s}1", f"{s}2"])
+        return pairs.filter(similar("a", "b")).select("a1", "a2", "b1", "b2")
+
+    keys = rows.groupBy("h1", "h2").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    entries = keys.select("h1", "h2", "n", F.explode("keys").alias("key"))
+    found = checked_pairs(entries, check, least)
+    prints = classes.groupBy("fingerprint").agg(F.min(F.struct("h1", "h2")).alias("p"))
+    linked = near_links(prints.select(F.col("fingerprint").alias("value")), distance)
+    for s in "ab":
+        ends = prints.select(
+            F.col("fingerprint").alias(s), F.col("p.h1").alias(f"{s}1"), F.col("p.h2").alias(f"{s}2")
+        )
+        linked = linked.join(ends, s).drop(s)
+    found = found.unionByName(check(linked.select("a1", "a2", "b1", "b2").distinct()))
+    links = found.select(
+        *(F.struct(F.col(f"{s}1").alias("h1"), F.col(f"{s}2").alias("h2")).alias(s) for s in "ab")
+    )
+    roots = components(links).select("node.h1", "node.h2", "root")
+    own = F.struct("h1", "h2")
+    rooted = classes.join(roots, ["h1", "h2"], "left").withColumn("root", F.coalesce("root", own))
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.r1", "first.r2")
+    kept = whole.select("r1", "r2", "row").groupBy("r1", "r2").agg(F.first("row").alias("row"))
+    return kept.join(firsts, ["r1", "r2"]).select("row.*")

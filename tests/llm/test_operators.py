@@ -323,6 +323,34 @@ def test_near_links_find_every_component(spark, monkeypatch, part):
     assert len({(a, b) for a, b in zip(want, got)}) == len(set(want)) == len(set(got))
 
 
+@pytest.mark.parametrize("few", [16, 1])
+def test_near_copies_go_by_shingles(spark, monkeypatch, few):
+    """Copies with some words changed, most of them more than four bits away; also in large groups."""
+    monkeypatch.setattr(alike, "FEW", few)
+    rng = random.Random(few)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(12):
+        base = rng.choices(vocabulary, k=rng.randint(100, 300))
+        for changed in (0, 0, 1, 2, 3, 4, 5, 8):
+            tokens = list(base)
+            for at in rng.sample(range(len(tokens)), changed):
+                tokens[at] = rng.choice(vocabulary)
+            texts.append(" ".join(tokens))
+    texts += ["", " ", "few words", "Few  WORDS", "few other words"]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[0]), (3, texts[3])], "doc_id long, text string")
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
+    near = [
+        (i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    groups = _union_find(len(texts), near)
+    want = {groups.index(root) for root in groups}
+    got = sorted(r["doc_id"] for r in simhash.keep_unlike(docs).collect())
+    assert got == sorted(want)
+    assert len(got) < simhash.keep_first(docs).count()
+
+
 def test_index_links_a_group_as_a_whole():
     """A large ball: more members than a node has children, few links."""
     rng = np.random.default_rng(6)
