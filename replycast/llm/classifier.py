@@ -16,6 +16,8 @@ travels(__name__)
 
 #: At most about this many labelled documents are learned from, chosen by a hash of their ids.
 SAMPLE = 12_000
+#: A label has at least this part of the sample, or all its documents if these are fewer.
+LEAST_PART = 1 / 20
 #: Hash buckets of n-grams, as a power of two.
 BITS = 18
 #: Bytes of the n-grams, and lengths of runs of one word that count as n-grams too.
@@ -158,14 +160,23 @@ class Model:
 
 
 def _sample(labels, id_col, label_col, learn, sample):
-    """Labels to learn from: one row per id, about `sample` of them at most, by a hash of the id."""
+    """Labels to learn from: one row per id, about `sample` of them at most, by a hash of the id.
+
+    Labels keep their proportions, but for a rare one, which has `LEAST_PART` of the sample if it can.
+    """
     rows = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     if learn is not None:
         rows = rows.filter(learn(F.col("doc_id")))
     rows = rows.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-    share = min(1.0, sample / max(rows.count(), 1))
-    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    share = min(1.0, sample / max(sum(counts.values()), 1))
+    chosen = F.lit(False)
+    for label, n in counts.items():
+        own = min(1.0, max(share, LEAST_PART * sample / n))
+        drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(own * 1_000_000)
+        chosen |= (F.col("label") == label) & drawn
+    return rows.filter(chosen)
 
 
 def fit(docs, labels, id_col="doc_id", text_col="text", label_col="quality", learn=None, sample=SAMPLE):

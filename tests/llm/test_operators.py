@@ -571,6 +571,13 @@ def test_classifier_on_held_out_documents(spark):
     assert sum((r["score"] >= 0.5) == bool(truth[r["doc_id"]]) for r in scored) / len(scored) > 0.98
 
 
+def test_a_rare_label_stays_in_the_sample(spark):
+    labels = spark.createDataFrame([(i, int(i % 1000 > 0)) for i in range(4000)], "doc_id long, quality int")
+    rows = classifier._sample(labels, "doc_id", "quality", None, 100).collect()
+    assert sum(r["label"] == 0 for r in rows) == 4
+    assert 60 <= len(rows) <= 150
+
+
 def test_dual_coordinate_descent_reaches_the_margin():
     samples = [np.array([0, 1]), np.array([1, 2]), np.array([3, 4]), np.array([4, 5])]
     labels = np.array([1, 1, 0, 0])
