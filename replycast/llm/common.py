@@ -3,7 +3,9 @@
 import sys
 from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -76,3 +78,12 @@ def map_texts(df, columns, schema, function, rows=256):
     names = [name for name, _ in fields]
     kinds = [aliases.get(kind, kind) for _, kind in fields]
     return df.select(*columns).mapInArrow(run, schema)
+
+
+def slices(batch, column=-1, limit=4 << 20):
+    """Parts of an Arrow batch whose strings in `column` have about `limit` bytes together, or one row more."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)[:-1]]) // limit
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for start, stop in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(start, stop - start)

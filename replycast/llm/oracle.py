@@ -203,10 +203,194 @@ SELECT counts.* EXCLUDE (lang, source),
 FROM counts
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# CRC-32 of texts, byte by byte, as macros over a table of 256 numbers
+CRC = """
+crc_table AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+)"""
+
+
+def _crc(text):
+    """CRC-32 of a text column beside `steps`."""
+    octets = (
+        f"list_transform(range(0, CAST(octet_length(encode({text})) AS BIGINT)), lambda i: CAST('0x' ||"
+        f" substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    )
+    return (
+        f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}),"
+        " lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), CAST(4294967295 AS BIGINT))"
+    )
+
+
+OP11 = f"""
+WITH {CRC.strip()},
+texts AS (
+  SELECT true AS corpus, doc_id AS id, text FROM documents
+  UNION ALL SELECT false, item_id, text FROM benchmark
+),
+split AS (
+  SELECT corpus, id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM texts
+),
+features AS (
+  SELECT corpus, id, unnest(words) AS feature FROM split
+  UNION ALL
+  SELECT corpus, id, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))
+  FROM split
+),
+hashed AS (
+  SELECT feature, {_crc("feature")} % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM features), crc_table
+),
+placed AS (SELECT corpus, id, bucket FROM features JOIN hashed USING (feature)),
+counts AS (
+  SELECT bucket, count(*) FILTER (WHERE corpus) AS s, count(*) FILTER (WHERE NOT corpus) AS t
+  FROM placed GROUP BY bucket
+),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * ((SELECT sum(s) FROM counts) + 10000)
+    / (CAST(s + 1 AS DOUBLE) * ((SELECT sum(t) FROM counts) + 10000)))) AS BIGINT) AS gain
+  FROM counts
+),
+sums AS (
+  SELECT id AS doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total
+  FROM placed JOIN gains USING (bucket) WHERE corpus GROUP BY id
+),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, len(words) AS n_words,
+    CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END AS weight,
+    CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM (SELECT id AS doc_id, words FROM split WHERE corpus) LEFT JOIN sums USING (doc_id)
+),
+ranked AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+  FROM scored
+),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM ranked WHERE n_words >= 20
+  QUALIFY rank <= 25 * count(*) OVER () // 100
+)
+SELECT doc_id, n_features, weight, score, rank FROM ranked LEFT JOIN drawn USING (doc_id)
+"""
+
+
+def _merkle_tree(leaves, name, levels):
+    """Levels of the trees of a table (tree, position, digest), as common table expressions.
+
+    A level has the nodes of the trees that are not finished below it, and the finished ones as they are.
+    """
+    parts, last = [], leaves
+    for level in range(1, levels + 1):
+        here = f"{name}{level}"
+        parts.append(f"""
+{here} AS (
+  SELECT tree, position // 16 AS position,
+    CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY position)) END
+      AS digest
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {last})
+  GROUP BY tree, position // 16
+)""")
+        last = here
+    return parts, last
+
+
+def _merkle_steps(of, name, leaves, levels):
+    """Digests left and right of a node's ancestors, as columns l1, r1, l2, ..., null where the tree is done."""
+    parts, last = [], of
+    for level in range(1, levels + 1):
+        nodes = leaves if level == 1 else f"{name}{level - 1}"
+        here = f"{name}_way{level}"
+        at = f"(f.{name}_position // {16 ** (level - 1)})"
+        parts.append(f"""
+{here} AS (
+  SELECT f.*, x.l AS {name}_l{level}, x.r AS {name}_r{level}
+  FROM {last} f LEFT JOIN (
+    SELECT tree AS t, position AS p,
+      coalesce(string_agg(digest, '') OVER (PARTITION BY tree, position // 16 ORDER BY position
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+      coalesce(string_agg(digest, '') OVER (PARTITION BY tree, position // 16 ORDER BY position
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM {nodes} QUALIFY count(*) OVER (PARTITION BY tree) > 1
+  ) x ON x.t = f.{name}_tree AND x.p = {at}
+)""")
+        last = here
+    return parts, last
+
+
+#: Levels that the SQL looks at: sources of up to 65,536 rows, and up to 256 sources.
+LEAF_LEVELS, TOP_LEVELS = 4, 2
+
+
+def _op12():
+    def field(column):
+        return f"coalesce(octet_length(encode(CAST({column} AS VARCHAR))) || ':' || {column}, '-')"
+
+    fields = [field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    text = [field("text"), field(f"translate(text, '{UPPER}', '{LOWER}')")]
+    plain, changed = (" || ".join([*fields, t]) for t in text)
+    up, subroots = _merkle_tree("leaves", "low", LEAF_LEVELS)
+    top, roots = _merkle_tree("subroots", "top", TOP_LEVELS)
+    ways, last = _merkle_steps("begun", "low", "leaves", LEAF_LEVELS)
+    more, last = _merkle_steps(last, "top", "subroots", TOP_LEVELS) if TOP_LEVELS else ([], last)
+    steps = [f"low_{{}}{i}" for i in range(1, LEAF_LEVELS + 1)] + [f"top_{{}}{i}" for i in range(1, TOP_LEVELS + 1)]
+    proof = " || ".join(f"coalesce({s.format('l')}, '') || coalesce({s.format('r')}, '')" for s in steps)
+    folds, value, table = [], "start", last
+    for i, s in enumerate(steps):
+        left, right = s.format("l"), s.format("r")
+        folds.append(f"""
+fold{i} AS (
+  SELECT *, CASE WHEN {left} IS NULL THEN {value} ELSE sha256({left} || {value} || {right}) END AS v{i}
+  FROM {table}
+)""")
+        value, table = f"v{i}", f"fold{i}"
+    parts = [
+        CRC.strip(),
+        f"""
+hashed AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({plain}) AS digest,
+    CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN sha256({changed}) END AS changed
+  FROM documents, crc_table
+)""",
+        """
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS position FROM hashed
+)""",
+        *up,
+        f"""
+subroots AS (
+  SELECT '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS position, digest, tree AS source_tree
+  FROM {subroots}
+)""",
+        *top,
+        f"""
+begun AS (
+  SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, r.digest AS root, coalesce(l.changed, l.digest) AS start,
+    l.tree AS low_tree, l.position AS low_position, '' AS top_tree, s.position AS top_position
+  FROM leaves l JOIN subroots s ON s.source_tree = l.tree, {roots} r
+)""",
+        *ways,
+        *more,
+        *folds,
+    ]
+    return "WITH " + ",".join(parts) + f"""
+SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, {value} AS folded_root,
+  {value} = root AS verified
+FROM {table}
+"""
+
+
 SQL = {
     "op1_mixing": OP1,
     "op3_line_dedup": OP3,
     "op6_exact_dedup": OP6,
     "op7_substring_dedup": OP7,
     "op8_quality_rules": OP8,
+    "op11_importance_resampling": OP11,
+    "op12_merkle_manifest": _op12(),
 }

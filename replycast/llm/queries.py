@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, langid, pii
+from . import bpe, classifier, langid, merkle, packing, pii, resampling
 from .exact import exact_dedup
 from .lines import line_dedup
 from .mixing import cycled_weights, mix
@@ -13,6 +13,8 @@ from .substrings import substring_dedup
 
 #: Rank file of the production vocabulary.
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: Vocabulary of the sequences that are packed.
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark, sf_dir, name):
@@ -93,6 +95,29 @@ def op10_quality_classifier(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_importance_resampling(spark, sf_dir):
+    docs, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resample(docs, benchmark)
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    found = merkle.manifest(_table(spark, sf_dir, "documents"), changed=merkle.lower_cased())
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_packing(spark, sf_dir):
+    packed = packing.pack(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -106,5 +131,8 @@ QUERIES = {
         op8_quality_rules,
         op9_bpe,
         op10_quality_classifier,
+        op11_importance_resampling,
+        op12_merkle_manifest,
+        op13_packing,
     )
 }

@@ -6,7 +6,9 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from replycast.llm import bpe, classifier, exact, langid, lines, mixing, pii, quality_rules, simhash, substrings
+from replycast.llm import (
+    bpe, classifier, exact, langid, lines, merkle, mixing, packing, pii, quality_rules, resampling, simhash, substrings,
+)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "wort " * 30_000 + "ende"
@@ -27,11 +29,14 @@ LABELS = [(1, 1, 0), (2, 0, 0), (2, 1, 0), (3, None, None), (None, 1, 1), (6, 0,
 #: Names that operators use inside.
 CLASHING = (
     "h1", "h2", "k", "k1", "k2", "row", "size", "words", "body", "first", "n", "hash", "value", "key", "cell",
+    "tree", "position", "digest", "changed", "steps", "block", "leaf", "rank", "weight", "n_features", "n_words",
+    "at", "start", "length", "units", "sequence_id", "upto", "before", "_size",
     "fingerprint", "copies", "target", "bucket", "label", "score", "kept", "rest", "removed", "line", "no", "ids",
 )
 
 PATTERN = public_tokenizers.PATTERN
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _labels(spark, rows):
@@ -55,6 +60,9 @@ PER_DOCUMENT = {
     "rules": lambda spark, docs: quality_rules.quality_rules(docs),
     "bpe": lambda spark, docs: bpe.decode(bpe.encode(docs, VOCABULARY, PATTERN), VOCABULARY, PATTERN),
     "classifier": lambda spark, docs: _classify(spark, docs, LABELS),
+    "resampling": lambda spark, docs: resampling.resample(docs, docs),
+    "manifest": lambda spark, docs: merkle.manifest(docs, changed=merkle.lower_cased()),
+    "packing": lambda spark, docs: packing.pack(docs, WORDS).filter("start = 0"),
 }
 #: Operators that give rows of documents with their own columns.
 ROWS_OUT = {
@@ -137,3 +145,24 @@ def test_one_of_each_component_stays(docs):
     assert texts.count(ROWS[0][1]) == 1
     assert sum(not (t or "").strip() for t in texts) == 1
     assert _ids(kept)[0] == 1
+
+
+def test_nothing_to_draw_or_to_gain(spark, docs, empty):
+    rows = {(r["doc_id"], r["n_features"]): r for r in resampling.resample(docs, empty).collect()}
+    # a null text and one without words have no features, weight 0, and are never drawn
+    assert all(rows[(i, 0)]["weight"] == 0 and rows[(i, 0)]["rank"] is None for i in (3, 4, 5, None))
+    assert resampling.resample(empty, docs).collect() == []
+
+
+def test_manifest_of_nulls_and_repeated_rows(docs):
+    found = merkle.manifest(docs).collect()
+    assert len({r["root"] for r in found}) == 1 and {r["folded_root"] for r in found} == {found[0]["root"]}
+    # a null source has a tree of its own, and a null id comes first in its source
+    assert len({r["subroot"] for r in found}) == 3
+    assert {r["position"] for r in found if r["source"] is None} == {0, 1, 2}
+    assert {r["position"] for r in found if r["doc_id"] is None} <= {0, 1}
+
+
+def test_null_and_empty_texts_are_one_id(docs):
+    rows = packing.pack(docs, WORDS).filter("doc_id in (3, 4, 5)").collect()
+    assert {(r["length"], r["doc_tokens"], bytes(r["ids"])) for r in rows} == {(1, 1, b"\x01\0\0\0")}
