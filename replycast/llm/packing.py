@@ -7,8 +7,8 @@ A null text is an empty one and has the ending id alone; very long texts count w
 texts of their own, null ids included. An empty table gives an empty table. Other columns may have any
 names. The strings of special tokens are ordinary text.
 
-1. Words between blanks are encoded by the vocabulary, each distinct one of a batch once: no token spans a
-   blank. Ids are written to the shared folder, and only lengths are handled until the end.
+1. Words between blanks are encoded by the vocabulary, once in a while for each distinct one: no token spans
+   a blank. Ids are written to the shared folder, and only lengths are handled until the end.
 2. What fills whole sequences is cut off the front. The rests are counted by length in units of `UNIT` ids,
    rounded down: a histogram of 2,048 / `UNIT` numbers whatever the size of the corpus.
 3. A linear program over patterns, lists of lengths that add up to a sequence, uses as many of the rests as
@@ -20,6 +20,8 @@ names. The strings of special tokens are ordinary text.
 5. What was cut off, and the few rests that no pattern took, form a stream that is cut into sequences.
 """
 
+import os
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -38,36 +40,82 @@ travels(__name__)
 LENGTH = 2048
 END = 1
 UNIT = 8
-#: Blanks that are cut at before encoding; the vocabulary may know more.
-BLANKS = "[ \\t\\n\\r]+"
+#: Where texts are cut before encoding, beside blanks: between a letter and the stops at a word's end. No
+#: token of the vocabulary spans these places; it may know more of them.
+AFTER_LETTER = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)(?:[ \\t\\n\\r]|$)"
+#: Words of letters that need nothing but lower case before the vocabulary's merges.
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+#: Bytes as the characters that stand for them in the vocabulary: the others than these follow from 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)} | {32: 32}
+#: Bytes of text that are encoded at once.
+TOGETHER = 4 << 20
+#: Bytes that the words and ids a worker remembers may take.
+KNOWN = 32 << 20
 #: The program ends when its value is within this share of the bound, or after so many pivots.
 GAP = 1e-4
 PIVOTS = 5000
 
 
-def _tokenizer(path):
+class Known:
+    """Ids of the words that a worker has met, as Arrow and numpy arrays; emptied when it has grown."""
+
+    def __init__(self, path):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.clear()
+
+    def clear(self):
+        self.words = pa.array([], pa.string())
+        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _encoded(self, words):
+        """Ids of each word. Plain ones are in lower case and one token group, so the merges alone are left."""
+        plain = pc.match_substring_regex(words, PLAIN)
+        group = " ".join(words.filter(plain).to_pylist()).encode().decode("latin-1").translate(BYTES)
+        merged = ([token.id for token in self.tokenizer.model.tokenize(word)] for word in group.split(" "))
+        for word, is_plain in zip(words.to_pylist(), plain.to_pylist()):
+            yield next(merged) if is_plain else self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def places(self, words):
+        """Place of each of an array's words in the arrays."""
+        if self.words.nbytes + self.ids.nbytes > KNOWN:
+            self.clear()
+        found = pc.index_in(words, value_set=self.words)
+        if found.null_count:
+            new = pc.unique(words.filter(pc.is_null(found)))
+            ids = list(self._encoded(new))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+            self.words = pa.concat_arrays([self.words, new])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+            found = pc.index_in(words, value_set=self.words)
+        return found.to_numpy().astype(np.int64)
+
+
+def _known(path):
     memory = worker_memory()
-    if ("tokenizer", path) not in memory:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        memory["tokenizer", path] = tokenizer
-    return memory["tokenizer", path]
+    if ("known", path) not in memory:
+        memory["known", path] = Known(path)
+    return memory["known", path]
 
 
-def encode_texts(texts, tokenizer, end=END):
+def encode_texts(texts, known, end=END):
     """Ids of each text of an Arrow array as one array, and the number of ids of each text."""
-    parts = pc.split_pattern_regex(pc.fill_null(texts, ""), BLANKS)
+    spaced = pc.replace_substring_regex(pc.fill_null(texts, ""), AFTER_LETTER, "\\1 \\2 ")
+    parts = pc.ascii_split_whitespace(spaced)
     coded = pc.dictionary_encode(pc.list_flatten(parts))
-    words = tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)
-    ids = [word.ids for word in words] + [[end]]
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    ids = np.fromiter((i for word in ids for i in word), np.uint32, int(sizes.sum()))
-    begins = np.cumsum(sizes) - sizes
+    plain = pc.match_substring_regex(coded.dictionary, PLAIN)
+    places = known.places(pc.if_else(plain, pc.utf8_lower(coded.dictionary), coded.dictionary))
+    begins = np.cumsum(known.sizes) - known.sizes
 
     # every text ends with one more word, that of the ending id
-    n_words = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(n_words)
-    words = np.insert(coded.indices.to_numpy().astype(np.int64), ends, len(sizes) - 1)
+    sizes = np.append(known.sizes[places], 1)
+    begins = np.append(begins[places], len(known.ids))
+    ids = np.append(known.ids, np.uint32(end))
+    ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64))
+    words = np.insert(coded.indices.to_numpy().astype(np.int64), ends, len(places))
     taken = sizes[words]
     upto = np.cumsum(taken)
     places = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(begins[words] - (upto - taken), taken)
@@ -80,8 +128,8 @@ def tokens(docs, path, id_col="doc_id", text_col="text", end=END):
 
     def encode(batches):
         for batch in batches:
-            for part in slices(batch):
-                ids, sizes = encode_texts(part.column(1), _tokenizer(path), end)
+            for part in slices(batch, limit=TOGETHER):
+                ids, sizes = encode_texts(part.column(1), _known(path), end)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]) * 4
                 data = pa.Array.from_buffers(
                     pa.binary(),
