@@ -4,18 +4,20 @@ Arrays and maps are shown as text, and computed means of doubles are rounded, so
 be compared with the SQL of `oracle.py`.
 """
 
-from functools import lru_cache
+from functools import lru_cache, partial, reduce
 from uuid import uuid4
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replycast.functions import html, scalars, words
 from replycast.functions.pos import COUNTED
-from replycast.operators import answers, forums, nlp, tags, users, votes
+from replycast.operators import answers, forums, nlp, prefix, tags, users, votes
 from replycast.plans import explore, features, model, scoring, snapshot
 from replycast.plans.names import STATUS_NAMES, HISTORY_NAMES, TARGET, TARGETS
 from replycast.session import shared_dir
 from replycast.sources import dump, manifest, snapshots
+from replycast.streaming import snapshots as stream_snapshots
 
 from .oracle import FIXTURE_FORUMS
 from .views import badges_view, questions_view, tables, users_view, _driver_tables
@@ -202,6 +204,51 @@ def tag_features(spark, sf_dir):
     return tags.tag_features(tables(spark, sf_dir)("posts"))
 
 
+#: Days on which the parts of a merged history begin.
+PART_DAYS = ("1995-01-01", "1997-01-01", "1999-07-01")
+
+
+def _in_parts(spark, sf_dir, name, build, compact_keys=None):
+    """A history built part by part: `build(part of the posts, first and last day, totals)` for each."""
+    path, posts = _new_path(spark, name), tables(spark, sf_dir)("posts")
+    found = []
+    for start, stop in zip(PART_DAYS, (*PART_DAYS[1:], "2100-01-01")):
+        if compact_keys and start == PART_DAYS[2]:
+            prefix.compact(spark, path, start, *compact_keys)
+        within = lambda at, a=start, b=stop: (F.col(at) >= F.lit(a)) & (F.col(at) < F.lit(b))
+        totals = partial(prefix.prefix_totals, path, start)
+        found.append(build(posts.where(within("creation_date")), within, totals))
+    return reduce(DataFrame.unionByName, found)
+
+
+def user_history_merged(spark, sf_dir):
+    """Author histories from three parts, each added to what is kept of the ones before."""
+    return _in_parts(
+        spark, sf_dir, "user-history", lambda posts, _, totals: users.user_history(posts, totals), (users.USER, "at")
+    )
+
+
+def user_status_merged(spark, sf_dir):
+    """Author status from three parts of posts and badges."""
+    t = tables(spark, sf_dir)
+
+    def build(posts, within, totals):
+        return users.user_status(posts, t("users"), t("badges").where(within("date")), totals)
+
+    return _in_parts(spark, sf_dir, "user-status", build)
+
+
+def tag_features_merged(spark, sf_dir):
+    """Tag features from three parts of the questions, the first two of them compacted."""
+    return _in_parts(
+        spark,
+        sf_dir,
+        "tag-features",
+        lambda posts, _, totals: tags.tag_features(posts, totals=totals),
+        (tags.TAG, "creation_date", 365),
+    )
+
+
 def as_of_date(spark, sf_dir):
     return snapshot.as_of(tables(spark, sf_dir)("posts"))
 
@@ -226,6 +273,27 @@ def snapshot_upsert(spark, sf_dir):
     return snapshots.upsert_snapshot(events, path, version="event_id")
 
 
+def snapshot_stream(spark, sf_dir):
+    """Last event of each customer, kept up by a stream of the events in eight files, in no order of time."""
+    start = _new_path(spark, "event-files")
+    t = tables(spark, sf_dir)
+    events = t("events").select(
+        F.col("user_id").alias("id"), F.col("event_type").alias("last_event"), F.col("event_id").alias("version")
+    )
+    events.withColumn("part", F.pmod(F.xxhash64("version"), F.lit(8))).repartition(8, "part").write.partitionBy(
+        "part"
+    ).parquet(start)
+    path = _new_path(spark, "event-snapshot")
+    unknown = t("customer").select(
+        F.col("c_custkey").alias("id"), F.lit("none").alias("last_event"), F.lit(-1).cast("bigint").alias("version")
+    )
+    stream_snapshots.apply_batch(unknown, path, "customers", 0)
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{start}/part=*")
+    stream = stream_snapshots.upsert_stream(feed, path, "events", _new_path(spark, "event-progress"), every=3)
+    stream.awaitTermination()
+    return stream_snapshots.read_snapshot(spark, path).drop("version")
+
+
 # --- words -----------------------------------------------------------------------------------
 
 
@@ -381,7 +449,7 @@ def parameters(spark, sf_dir):
 
 def cv_best(spark, sf_dir):
     train, _ = _parts(spark, sf_dir)
-    return model.cv_results(model.tune_gbt(train, XS, TARGET, parallelism=8), spark)
+    return model.cv_results(model.tune_gbt(train, XS, TARGET, parallelism=8, key=votes.KEY), spark)
 
 
 # --- scoring ---------------------------------------------------------------------------------
@@ -464,10 +532,14 @@ QUERIES = {
         question_tags,
         tag_start,
         tag_features,
+        user_history_merged,
+        user_status_merged,
+        tag_features_merged,
         as_of_date,
         user_snapshot,
         tag_snapshot,
         snapshot_upsert,
+        snapshot_stream,
         token_counts,
         stopword_counts,
         sentence_counts,

@@ -21,11 +21,12 @@ def tag_start(posts):
     return question_tags(posts).groupBy(*TAG).agg(F.min("creation_date").alias("tag_start_date"))
 
 
-def tag_features(posts, horizons=(30, 365)):
+def tag_features(posts, horizons=(30, 365), totals=running_totals):
     """Per question: maximum and mean over its tags of earlier uses and of tag age.
 
     Uses within n days are all earlier uses less those at least n days older. A tag that a post
-    repeats counts that many times, both as a use and in the counts of its own post.
+    repeats counts that many times, both as a use and in the counts of its own post. `totals` may be
+    `prefix_totals` with a path and a part, for the posts of a new part.
     """
     tags = F.col("tags")
     uses = questions_of(posts).select(
@@ -38,7 +39,7 @@ def tag_features(posts, horizons=(30, 365)):
     uses = uses.withColumn(
         "uses", F.size("tags") - F.size(F.array_remove(tags, F.col("tag")))
     ).drop("tags")
-    counted = running_totals(
+    counted = totals(
         uses,
         TAG,
         "creation_date",

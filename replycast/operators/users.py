@@ -31,11 +31,12 @@ def profile(users):
     )
 
 
-def user_status(posts, users, badges):
+def user_status(posts, users, badges, totals=running_totals):
     """Per question with a known author: profile, age and badges held at the time of asking.
 
     Badges and questions form one event list per user; a running total up to and including the
-    event's time replaces a join of each question to all earlier badges.
+    event's time replaces a join of each question to all earlier badges. `totals` may be `prefix_totals` with
+    a path and a part, for the posts and badges of a new part.
     """
     asked = questions_of(posts).where(F.col("owner_user_id").isNotNull()).select(
         "dataset_name",
@@ -50,7 +51,7 @@ def user_status(posts, users, badges):
         F.col("date").alias("at"),
         *[mark.alias(out) for out, mark in badge_marks().items()],
     )
-    counted = running_totals(
+    counted = totals(
         asked.unionByName(earned),
         USER,
         "at",
@@ -106,8 +107,11 @@ def _history_columns():
     return [*names[:3], *flags, *names[3:]]
 
 
-def user_history(posts):
-    """Per question: what its author had posted strictly before it; zeros for unknown authors."""
+def user_history(posts, totals=running_totals):
+    """Per question: what its author had posted strictly before it; zeros for unknown authors.
+
+    `totals` may be `prefix_totals` with a path and a part, for the posts of a new part.
+    """
     measures = history_measures()
     slim = posts.select(
         "dataset_name",
@@ -117,7 +121,7 @@ def user_history(posts):
         F.col("creation_date").alias("at"),
         *[column.cast("bigint").alias(out) for out, column in measures.items()],
     )
-    counted = running_totals(
+    counted = totals(
         slim.where(F.col("user_id").isNotNull()),
         USER,
         "at",
