@@ -17,14 +17,17 @@ match are within it, and all lines with the same rest are one. With larger dista
 whose lines agree in all but a few characters, are paired and verified like the others.
 
 With `share`, a line also goes if an earlier one is within one edit of whole words for each `share` words of
-the longer of the two. Such lines have a run of `RUN` words in common, whatever their length: with k edits
-allowed, the longer one has `share` * k words or more, at most k of them edited, so the others lie in k + 1
-runs at most. Each line is entered under the least hash of the `GRAM`-word runs in each window of `RUN`
-words, so two lines with such a run share a key, and pairs with a common key are verified.
+the longer of the two. Up to `CLASSES` edits these lines meet as above, by segments of words. Longer
+ones have a run of words in common: with k edits allowed, the longer one has `share` * k words or more, at
+most k of them edited, so the others lie in k + 1 runs at most. A line is entered under the least hash of
+the `GRAM`-word runs in each window of such a run, so two lines with such a run share a key. What meets is
+verified by its words.
 """
 
+from functools import reduce
 from uuid import uuid4
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -36,10 +39,10 @@ DISTANCE = 1
 SECOND_SEED = 7
 #: Groups are paired if that gives at most this many pairs for each entry.
 FEW = 16
-#: Words for each word edit, and the words that two lines within these edits have in common in one run.
+#: Words for each word edit, and the edits up to which lines meet by segments.
 SHARE = 20
-RUN = 10
-#: Words of the runs that are hashed.
+CLASSES = 4
+#: Words of the runs that are hashed in longer lines.
 GRAM = 6
 
 ID = ["h1", "h2"]
@@ -85,7 +88,7 @@ def _entries(rows, distance):
     its role, and the cut taken out: place in the upper, length in the lower half of a number.
     """
     parts = distance + 1
-    kept = [c for c in rows.columns if c in (*ID, "cuts")]
+    kept = [c for c in rows.columns if c in (*ID, "id", "n", "cuts")]
     # a segment has few places; steps in small expressions, so that each compiles on its own
     choices = [
         F.struct(F.lit(i).alias("i"), F.lit(step).alias("step"))
@@ -313,8 +316,8 @@ def near_earlier(lines, distance=DISTANCE):
     return found.distinct()
 
 
-def _keys(tokens):
-    """Least hash of the `GRAM`-word runs in each window of `RUN` words, each once, of an array of words."""
+def _keys(tokens, run):
+    """Least hash of the `GRAM`-word runs in each window of `run` words, each once, of an array of words."""
 
     def joined(column, step, function):
         return F.zip_with(column, F.slice(column, step + 1, F.size(column)), function)
@@ -332,66 +335,105 @@ def _keys(tokens):
         )
 
     grams = over(F.transform(tokens, lambda w: F.xxhash64(w)), GRAM, lambda a, b: F.xxhash64(a, b))
-    return F.array_distinct(over(grams, RUN - GRAM + 1, lambda a, b: F.least(a, b)))
+    return F.array_distinct(over(grams, run - GRAM + 1, lambda a, b: F.least(a, b)))
 
 
-def _as_characters(tokens, seed):
-    """A text with one character for each word, by a hash of the word."""
+def _as_characters(tokens):
+    """A text with one character for each word, by 20 bits of a hash of the word."""
     points = F.transform(
-        tokens,
-        lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(F.lit(seed), w), F.lit(1 << 20)) + (1 << 16)), 8, "0"),
+        tokens, lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(1 << 20)) + (1 << 16)), 8, "0")
     )
     return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
 
 
+def _word_entries(lines, share):
+    """Entries (key, id, n) under which lines within the word edits of `share` meet.
+
+    With k edits allowed, up to `CLASSES` of them, segments of words by length and place, as for characters;
+    the longer line of a pair has the words for k edits, and the shorter one is indexed for it. Beyond
+    that, the runs of words that long lines have in common.
+    """
+    parts = []
+    for k in range(1, CLASSES + 1):
+        rows = lines.filter(F.col("n").between((share - 1) * k, share * (k + 1) - 1))
+        less = F.explode(F.sequence(F.lit(0), F.when(F.col("n") >= share * k, k).otherwise(0)))
+        rows = rows.select("id", "n", _as_characters(words(F.col("line"))).alias("rest"), less.alias("less"))
+        rows = rows.select(
+            "id", "n", "rest", F.lit(k).cast("long").alias("base"), (F.col("n") - F.col("less")).alias("l"),
+            (F.col("less") == 0).alias("role"),
+        )
+        parts.append(_entries(rows, k).select("key", "id", "n"))
+    run = (share - 1) * (CLASSES + 1) // (CLASSES + 2)
+    if run <= GRAM:
+        raise ValueError(f"share is too small for runs of {GRAM} words")
+    long = lines.filter(F.col("n") >= (share - 1) * (CLASSES + 1))
+    parts.append(long.select(F.explode(_keys(words(F.col("line")), run)).alias("key"), "id", "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _word_edits(a, b, edits):
+    """Whether two arrays of words are within so many edits: words as characters by their place in both."""
+    both = F.array_distinct(F.concat(a, b))
+
+    def text(tokens, vocabulary):
+        points = F.transform(
+            tokens, lambda w: F.lpad(F.hex(F.array_position(vocabulary, w) + (1 << 16)), 8, "0")
+        )
+        return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
+
+    return _let(both, lambda v: F.levenshtein(text(a, v), text(b, v)) <= edits)
+
+
 def near_earlier_by_words(lines, share=SHARE):
-    """Ids of the lines (h1, h2, line, first) with an earlier line within the word edits of `share`.
+    """Ids of the lines (h1, h2, line, first, id, n) with an earlier line within the word edits of `share`.
 
-    Words are compared by two hashes of 20 bits: both must give that few edits.
+    Candidates whose words differ by 20 bits of a hash already are left out; the others' words are compared.
     """
-    if -(-(share - 1) // 2) < RUN:
-        raise ValueError(f"share must be {2 * RUN} or more")
-    tokens = words(F.col("line"))
-    entries = lines.select(*ID, tokens.alias("tokens")).filter(F.size("tokens") >= share - 1)
-    entries = entries.select(*ID, F.size("tokens").alias("n"), F.explode(_keys(F.col("tokens"))).alias("key"))
+    names = lines.select("id", *ID, "first")
 
     def check(pairs):
+        for side in "ab":
+            ends = names.select(
+                F.col("id").alias(f"{side}1"), *(F.col(c).alias(f"{side}_{c}") for c in ID)
+            )
+            pairs = pairs.join(ends, f"{side}1")
         for side in "ab":
             ends = lines.select(
-                F.col("h1").alias(f"{side}1"), F.col("h2").alias(f"{side}2"), tokens.alias(f"{side}_words")
+                *(F.col(c).alias(f"{side}_{c}") for c in ID), words(F.col("line")).alias(f"{side}_words")
             )
-            pairs = pairs.join(ends, [f"{side}1", f"{side}2"])
+            pairs = pairs.join(ends, [f"{side}_{c}" for c in ID])
         edits = F.floor(F.greatest(F.size("a_words"), F.size("b_words")) / share).cast("int")
-        pairs = pairs.withColumn("edits", edits)
-        for seed in (1, 2):
-            a, b = (_as_characters(F.col(f"{side}_words"), seed) for side in "ab")
-            pairs = pairs.withColumns({"a": a, "b": b}).filter("levenshtein(a, b, edits) >= 0")
-        return pairs.select("a1", "a2", "b1", "b2")
-
-    firsts = lines.select(*ID, "first")
-    pairs = checked_pairs(entries, check, 1 - 1 / share, firsts)
+        texts = {side: _as_characters(F.col(f"{side}_words")) for side in "ab"}
+        pairs = pairs.withColumns({"edits": edits, **texts}).filter("levenshtein(a, b, edits) >= 0")
+        pairs = pairs.filter(_word_edits(F.col("a_words"), F.col("b_words"), F.col("edits")))
+        return pairs.select("a1", "b1")
+
+    entries = _word_entries(lines, share)
+    pairs = checked_pairs(entries, check, 1 - 1 / share, names.select("id", "first"), ["id"])
     for side in "ab":
-        ends = firsts.select(*(F.col(c).alias(f"{side}{c[1]}") for c in ID), F.col("first").alias(f"{side}_first"))
-        pairs = pairs.join(ends, [f"{side}1", f"{side}2"])
-    later = F.col("a_first") > F.col("b_first")
-    return pairs.select(
-        *(F.when(later, F.col(f"a{n}")).otherwise(F.col(f"b{n}")).alias(f"h{n}") for n in (1, 2))
-    ).distinct()
+        ends = names.select(
+            F.col("id").alias(f"{side}1"), F.struct("first", *ID).alias(side)
+        )
+        pairs = pairs.join(ends, f"{side}1")
+    later = F.greatest("a", "b")
+    return pairs.select(later[ID[0]].alias(ID[0]), later[ID[1]].alias(ID[1])).distinct()
 
 
 def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE, share=None):
     """`doc_id`, `k` (hash of the text) and the `removed` line numbers, `n_exact` and `n_near`, of texts
     that lose a line."""
     lines = _occurrences(docs, id_col, text_col, "line")
-    lines = _bucketed(
-        lines.groupBy(*ID).agg(
-            F.first("line").alias("line"), F.min(_place()).alias("first"), F.count("*").alias("n")
-        ),
-        ID,
+    lines = lines.groupBy(*ID).agg(
+        F.first("line").alias("line"), F.min(_place()).alias("first"), F.count("*").alias("n")
     )
+    if share is not None:
+        # a number for each line, made as the table is written, and the size in words
+        lines = lines.withColumns({"id": F.monotonically_increasing_id(), "n_words": F.size(words(F.col("line")))})
+    lines = _bucketed(lines, ID)
     near = near_earlier(lines, distance)
     if share is not None:
-        near = near.unionByName(near_earlier_by_words(lines, share)).distinct()
+        numbered = lines.drop("n").withColumnRenamed("n_words", "n")
+        near = near.unionByName(near_earlier_by_words(numbered, share)).distinct()
     near = near.withColumn("near", F.lit(True))
     repeated = lines.select(*ID, "first", "n").join(near, ID, "left").filter("near OR n > 1")
     # written, so that the join reads shuffles on both sides and a line in very many places is split

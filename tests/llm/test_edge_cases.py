@@ -68,7 +68,9 @@ PER_DOCUMENT = {
 ROWS_OUT = {
     "mixed": lambda docs: mixing.mixed(docs, mixing.cycled_weights(docs)),
     "without_removed": lines.without_removed,
+    "without_removed by words": lambda docs: lines.without_removed(docs, share=lines.SHARE),
     "keep_first": simhash.keep_first,
+    "keep_unlike": simhash.keep_unlike,
 }
 
 

@@ -208,16 +208,16 @@ def _removed_by_words(docs, share):
 
 @pytest.mark.parametrize("few", [16, 1])
 def test_line_dedup_by_words(spark, monkeypatch, few):
-    """Lines of 18 to 85 words with up to five changed ones; also with every group a large one."""
+    """Lines of 18 to 121 words with up to six changed ones; also with every group a large one."""
     monkeypatch.setattr(alike, "FEW", few)
     rng = random.Random(few)
     vocabulary = [f"word{i}" for i in range(400)]
-    base = [rng.choices(vocabulary, k=rng.choice([18, 19, 20, 21, 39, 40, 41, 60, 85])) for _ in range(12)]
+    base = [rng.choices(vocabulary, k=k) for k in (18, 19, 20, 21, 39, 40, 41, 60, 85, 95, 100, 121)]
     base.append(base[-1][:30] + rng.choices(vocabulary, k=30))
 
     def edited():
         tokens = list(rng.choice(base))
-        for _ in range(rng.choice([0, 1, 1, 2, 3, 5])):
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 6])):
             at = rng.randrange(len(tokens))
             tokens[at : at + rng.choice([0, 1, 1])] = rng.choice([[], [rng.choice(vocabulary)]])
         return " ".join(tokens)
