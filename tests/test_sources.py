@@ -27,6 +27,40 @@ def test_read_posts(spark, tmp_path):
     assert second.creation_date is None and second.creation_year is None
 
 
+BROKEN = """<?xml version="1.0"?>
+<votes>
+  <row Id="1" PostId="2" VoteTypeId="2" CreationDate="2020-01-01T00:00:00" />
+  <row Id="x" PostId="2" VoteTypeId="many" CreationDate="2020-01-01T00:00:00" />
+  <row Id="3" PostId="2" VoteTypeId="2" CreationDate="yesterday" />
+  <row PostId="2" VoteTypeId="2" />
+  <row Id="5" PostId="2" VoteTy
+  <row Id="6" PostId=2 VoteTypeId="2" />
+  <row Id="7" PostId="2" VoteTypeId="3" />
+</votes>
+"""
+
+
+def test_broken_rows_are_kept_apart(spark, tmp_path):
+    (tmp_path / "cs-com.xml").write_text(BROKEN)
+    (tmp_path / "fine-com.xml").write_text('<votes><row Id="1" PostId="1" VoteTypeId="1" /></votes>')
+    (tmp_path / "none-com.xml").write_text("<votes></votes>")
+    audited = dump.audit_entity(spark, "votes", str(tmp_path))
+    sound = dump.sound_rows(audited)
+    assert sound.columns == dump.read_entity(spark, "votes", str(tmp_path)).columns
+    assert sorted(r.id for r in sound.collect()) == [1, 1, 7]
+    bad = {r.record.split()[1]: r.problems for r in dump.quarantined(audited).collect()}
+    assert bad == {
+        'Id="x"': ["bad id", "bad vote_type_id"],
+        'Id="3"': ["bad creation_date"],
+        'PostId="2"': ["no id"],
+        'Id="5"': ["unreadable"],
+        'Id="6"': ["unreadable"],
+    }
+    report = {r.dataset_name: (r.n_rows, r.n_bad, r.problems) for r in dump.file_report(audited).collect()}
+    assert report["fine-com"] == (1, 0, {}) and set(report) == {"cs-com", "fine-com"}
+    assert report["cs-com"][:2] == (7, 5) and report["cs-com"][2]["unreadable"] == 2
+
+
 def test_read_other_entities(spark, tmp_path):
     for entity, spec in ENTITIES.items():
         folder = tmp_path / entity
