@@ -16,7 +16,7 @@ from replycast.operators import answers, forums, nlp, prefix, tags, users, votes
 from replycast.plans import explore, features, model, scoring, snapshot
 from replycast.plans.names import STATUS_NAMES, HISTORY_NAMES, TARGET, TARGETS
 from replycast.session import shared_dir
-from replycast.sources import dump, manifest, snapshots
+from replycast.sources import dump, importing, manifest, snapshots
 from replycast.streaming import snapshots as stream_snapshots
 
 from .oracle import FIXTURE_FORUMS
@@ -156,6 +156,44 @@ def ingest_badges(spark, sf_dir):
     return read.select("id", "user_id", "name", "date", "class", "year")
 
 
+def ingest_increment(spark, sf_dir):
+    """All votes, from two deliveries of dump files and three runs of the import."""
+    ballots = tables(spark, sf_dir)("votes").drop("creation_year")
+    source, target, progress = (_new_path(spark, f"votes-{part}") for part in ("dumps", "table", "progress"))
+    first = F.pmod(F.xxhash64("post_id"), F.lit(2)) == 0
+    for number, part in enumerate((ballots.where(first), ballots.where(~first))):
+        _as_dump(part, "votes", ("creation_date",), f"{source}/delivery={number}")
+        for _ in range(1 + number):
+            importing.import_new(spark, "votes", f"{source}/delivery=*", target, progress, 3).awaitTermination()
+    return spark.read.parquet(target).select("post_id", "vote_type_id", "creation_date", "creation_year")
+
+
+def ingest_audit(spark, sf_dir):
+    """How many rows of a dump of all posts have a problem: cut ones, and bad or missing values."""
+    key = F.col("id")
+
+    def attribute(name, value):
+        return F.concat(F.lit(f' {name}="'), value.cast("string"), F.lit('"'))
+
+    start = F.concat(
+        F.when(key % 19 == 0, "").otherwise(attribute("Id", key)), attribute("PostTypeId", F.col("post_type_id"))
+    )
+    rest = F.concat(
+        attribute("Score", F.when(key % 13 == 0, "many").otherwise(F.coalesce("score", F.lit(0)).cast("string"))),
+        attribute(
+            "CreationDate",
+            F.when(key % 11 == 0, "long ago").otherwise(F.date_format("creation_date", "yyyy-MM-dd'T'HH:mm:ss.SSS")),
+        ),
+    )
+    cut = key % 17 == 0
+    row = F.concat(F.lit("<row"), start, F.when(cut, ' Sco').otherwise(F.concat(rest, F.lit(" />"))))
+    path = _new_path(spark, "broken-posts")
+    tables(spark, sf_dir)("posts").select(row.alias("value")).write.text(path)
+    audited = dump.audit_entity(spark, "posts", path)
+    found = audited.select(F.explode(F.concat(F.array(F.lit("rows")), "problems")).alias("problem"))
+    return found.groupBy("problem").agg(F.count("*").alias("n_rows"))
+
+
 def pending_files(spark, sf_dir):
     t = tables(spark, sf_dir)
     name = F.concat("c_name", F.lit(".7z")).alias("file_name")
@@ -523,6 +561,8 @@ QUERIES = {
         ingest_votes,
         ingest_users,
         ingest_badges,
+        ingest_increment,
+        ingest_audit,
         pending_files,
         question_features,
         user_status,

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from replycast.schemas import ENTITIES
-from replycast.sources import dump, manifest, snapshots, tables
+from replycast.sources import dump, importing, manifest, snapshots, tables
 from tests.conftest import at
 
 POSTS = """<?xml version="1.0" encoding="utf-8"?>
@@ -161,3 +161,58 @@ def test_repeated_keys_without_a_version(spark, tmp_path):
     for _ in range(2):
         snap = snapshots.upsert_snapshot(rows, str(tmp_path / "snap"))
         assert sorted(map(tuple, snap.collect())) == [("a", 3), ("b", 2)]
+
+
+def _deliver(folder, forum, ids):
+    folder.mkdir(parents=True, exist_ok=True)
+    rows = "".join(f'<row Id="{i}" PostId="{i}" VoteTypeId="2" />' for i in ids)
+    (folder / f"{forum}.xml").write_text(f"<votes>{rows}</votes>")
+
+
+def test_import_takes_new_files_alone(spark, tmp_path):
+    source, target, progress = (str(tmp_path / part) for part in ("in/*", "table", "progress"))
+
+    def run():
+        stream = importing.import_new(spark, "votes", source, target, progress, 1)
+        stream.awaitTermination()
+        return stream
+
+    def content():
+        rows = spark.read.parquet(target).collect()
+        return sorted((r.dataset_name, r.id) for r in rows)
+
+    _deliver(tmp_path / "in" / "may", "a-com", [1, 2])
+    _deliver(tmp_path / "in" / "may", "b-com", [3])
+    run()
+    assert content() == [("a-com", 1), ("a-com", 2), ("b-com", 3)]
+    files = sorted((tmp_path / "table").rglob("*.parquet"))
+    assert run().lastProgress is None or run().lastProgress["numInputRows"] == 0
+    assert sorted((tmp_path / "table").rglob("*.parquet")) == files
+    # a new delivery replaces the forum's partition and leaves the others as they are
+    _deliver(tmp_path / "in" / "june", "a-com", [1, 4])
+    run()
+    assert content() == [("a-com", 1), ("a-com", 4), ("b-com", 3)]
+    assert [f for f in files if "b-com" in str(f)] == [
+        f for f in sorted((tmp_path / "table").rglob("*.parquet")) if "b-com" in str(f)
+    ]
+
+
+def test_failed_import_leaves_the_partitions_and_is_taken_up_again(spark, tmp_path, monkeypatch):
+    import pytest
+
+    source, target, progress = (str(tmp_path / part) for part in ("in/*", "table", "progress"))
+    _deliver(tmp_path / "in" / "may", "a-com", [1, 2])
+    importing.import_new(spark, "votes", source, target, progress).awaitTermination()
+    _deliver(tmp_path / "in" / "june", "a-com", [5])
+
+    def broken(*args, **options):
+        rows = dump.read_entity(*args, **options)
+        return rows.withColumn("id", F.when(F.col("id") == 5, F.raise_error(F.lit("no"))).otherwise(F.col("id")))
+
+    monkeypatch.setattr(importing, "read_entity", broken)
+    with pytest.raises(Exception):
+        importing.import_new(spark, "votes", source, target, progress).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2]
+    monkeypatch.undo()
+    importing.import_new(spark, "votes", source, target, progress).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [5]
