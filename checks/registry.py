@@ -525,9 +525,7 @@ def _map_text(col):
     )
 
 
-def request_lookup(spark, sf_dir):
-    asked = scoring.parse_requests(requests(spark, sf_dir))
-    found = scoring.enrich_requests(asked, *_snapshots(spark, sf_dir))
+def _looked_up(found):
     return found.select(
         "request_id",
         "dataset_name",
@@ -540,6 +538,20 @@ def request_lookup(spark, sf_dir):
     )
 
 
+def request_lookup(spark, sf_dir):
+    asked = scoring.parse_requests(requests(spark, sf_dir))
+    return _looked_up(scoring.enrich_requests(asked, *_snapshots(spark, sf_dir)))
+
+
+def indexed_lookup(spark, sf_dir):
+    """The same from snapshots that were published for look-ups."""
+    paths = [_new_path(spark, name) for name in ("user-snapshot", "tag-snapshot")]
+    for rows, path in zip(_snapshots(spark, sf_dir), paths):
+        snapshots.publish_indexed(rows, path)
+    asked = scoring.parse_requests(requests(spark, sf_dir))
+    return _looked_up(scoring.enrich_requests(asked, *scoring.lookup_tables(asked, *paths)))
+
+
 def score_requests(spark, sf_dir):
     asked = scoring.parse_requests(requests(spark, sf_dir))
     fitted = _model(spark, sf_dir)
@@ -601,6 +613,7 @@ QUERIES = {
         importances,
         parameters,
         request_lookup,
+        indexed_lookup,
         score_requests,
         cv_best,  # the longest by far: 135 fits
     )

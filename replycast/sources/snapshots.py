@@ -2,6 +2,10 @@
 
 from pyspark.sql import functions as F
 
+BUCKETS = 256
+#: Keys up to which a look-up names them in the scan; Parquet takes so many apart from each other.
+FEW = 10
+
 
 def latest_per_key(df, key, version=None):
     """One row per key: the one with the highest version, of equal ones the largest row.
@@ -40,6 +44,35 @@ def read_snapshot(spark, path):
     return spark.read.parquet(f"{path}/version={_versions(spark, path)[-1]}")
 
 
+def _bucket(key):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(BUCKETS)).cast("int")
+
+
+def publish_indexed(rows, path, key="id"):
+    """Write `rows`, one for each key, as a new version that `read_matching` finds its way in.
+
+    Rows are dealt into buckets by key, sorted by it, and files have a Bloom filter of it.
+    """
+    number = max([0, *_versions(rows.sparkSession, path, begun=True)]) + 1
+    dealt = rows.withColumn("bucket", _bucket(key)).repartition("bucket").sortWithinPartitions("bucket", key)
+    writer = dealt.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.partitionBy("bucket").parquet(f"{path}/version={number}")
+
+
+def read_matching(spark, path, keys, key="id"):
+    """Rows of the last version that may have one of `keys`, a table with a column `key`.
+
+    Files of buckets without a key are not opened. If there are few keys, they go down to the scan, where
+    each file's bounds and Bloom filter keep out the row groups without them.
+    """
+    asked = keys.select(key).where(F.col(key).isNotNull())
+    # at most BUCKETS numbers, and one key more than can go down
+    buckets = asked.agg(F.collect_set(_bucket(key))).first()[0]
+    few = [row[0] for row in asked.distinct().limit(FEW + 1).collect()]
+    rows = read_snapshot(spark, path).where(F.col("bucket").isin(buckets))
+    return (rows.where(F.col(key).isin(few)) if len(few) <= FEW else rows).drop("bucket")
+
+
 def upsert_snapshot(updates, path, key="id", version=None):
     """Write `updates` over the snapshot at `path`, as a new version beside the old ones.
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from replycast.schemas import ENTITIES
@@ -145,8 +146,6 @@ def test_one_dump_file_is_read_by_many_tasks(spark, tmp_path):
 
 
 def test_failed_write_leaves_the_table(spark):
-    import pytest
-
     tables.save_table(spark.range(5), "saved_twice")
     broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
     with pytest.raises(Exception):
@@ -198,8 +197,6 @@ def test_import_takes_new_files_alone(spark, tmp_path):
 
 
 def test_failed_import_leaves_the_partitions_and_is_taken_up_again(spark, tmp_path, monkeypatch):
-    import pytest
-
     source, target, progress = (str(tmp_path / part) for part in ("in/*", "table", "progress"))
     _deliver(tmp_path / "in" / "may", "a-com", [1, 2])
     importing.import_new(spark, "votes", source, target, progress).awaitTermination()
@@ -216,3 +213,34 @@ def test_failed_import_leaves_the_partitions_and_is_taken_up_again(spark, tmp_pa
     monkeypatch.undo()
     importing.import_new(spark, "votes", source, target, progress).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [5]
+
+
+def test_look_up_reads_what_can_match(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    rows = spark.range(20_000).select(F.concat(F.lit("f:"), F.col("id")).alias("id"), F.col("id").alias("n"))
+    snapshots.publish_indexed(rows, path)
+    # files of other buckets than those of the keys cannot be read any more
+    wanted = [f"f:{i}" for i in range(30)]
+    near = spark.createDataFrame([(i,) for i in wanted], "id string").select(snapshots._bucket("id").alias("b"))
+    near = {f"bucket={r.b}" for r in near.collect()}
+    for file in (tmp_path / "snap").rglob("*.parquet"):
+        if file.parent.name not in near:
+            data = file.read_bytes()
+            footer = 8 + int.from_bytes(data[-8:-4], "little")
+            file.write_bytes(data[:4] + b"\xff" * (len(data) - footer - 4) + data[-footer:])
+            (file.parent / f".{file.name}.crc").unlink()
+    with pytest.raises(Exception):
+        snapshots.read_snapshot(spark, path).collect()
+
+    def ask(*ids):
+        return snapshots.read_matching(spark, path, spark.createDataFrame([(i,) for i in ids], "id string"))
+
+    one = ask("f:7", None, "f:7")
+    assert [tuple(r) for r in one.collect()] == [("f:7", 7)]
+    plan = one._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,f:7)]" in plan
+    some = {r.id for r in ask(*wanted).collect()}
+    assert some >= set(wanted) and len(some) < 4_000
+    assert ask().collect() == []
+    snapshots.publish_indexed(rows.where("n < 10"), path)
+    assert ask("f:77").collect() == []
