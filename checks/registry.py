@@ -477,6 +477,24 @@ def confusion(spark, sf_dir):
     return model.confusion(_predicted(spark, sf_dir))
 
 
+def _given_prediction(spark, sf_dir):
+    """A prediction that the tables hold: large quantities as the score of returned lines."""
+    quantity = F.col("l_quantity").cast("double")
+    return tables(spark, sf_dir)("lineitem").select(
+        (F.col("l_returnflag") == "R").cast("double").alias("label"),
+        (quantity / 50).alias("rawPrediction"),
+        (quantity > 25).cast("double").alias("prediction"),
+    )
+
+
+def given_metrics(spark, sf_dir):
+    return _rounded(model.metrics(_given_prediction(spark, sf_dir)), "value")
+
+
+def given_confusion(spark, sf_dir):
+    return _rounded(model.confusion(_given_prediction(spark, sf_dir)), "share")
+
+
 def importances(spark, sf_dir):
     return model.importances(_model(spark, sf_dir), XS, spark)
 
@@ -610,6 +628,8 @@ QUERIES = {
         split_counts,
         gbt_metrics,
         confusion,
+        given_metrics,
+        given_confusion,
         importances,
         parameters,
         request_lookup,
