@@ -127,14 +127,14 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-#: Measure of the quality rules, least distance of its fence, whether it can be too low.
+#: Measure of the quality rules, and whether it can be too low.
 MEASURES = (
-    ("n_symbols / word_chars", 0.05, False),
-    ("n_exclamations / n_words", 0.3, False),
-    ("n_dup_lines / n_lines", 0.5, False),
-    ("n_repeat_words / n_words", 0.3, False),
-    ("n_stutters / n_words", 0.1, False),
-    ("word_chars / n_words", 2.0, True),
+    ("(n_symbols + 1) / (word_chars + 100)", False),
+    ("(n_exclamations + 1) / (n_words + 20)", False),
+    ("(n_dup_lines + 1) / (n_lines + 5)", False),
+    ("(n_repeat_words + 1) / (n_words + 20)", False),
+    ("(n_stutters + 1) / (n_words + 20)", False),
+    ("word_chars / n_words", True),
 )
 
 OP8 = f"""
@@ -165,36 +165,39 @@ counts AS (
   FROM d LEFT JOIN again USING (doc_id)
 ),
 measured AS (
-  SELECT doc_id, lang, source, unnest(range({len(MEASURES)})) AS measure,
-    unnest([{", ".join(m for m, _, _ in MEASURES)}]) AS value
-  FROM counts WHERE n_words > 0
-),
-bins AS (
-  SELECT lang, source, measure,
-    CASE WHEN value > 0 THEN pow(1.02, ceil(ln(value) / ln(1.02)) - 0.5) ELSE 0 END AS middle,
-    count(*) AS n
-  FROM measured GROUP BY ALL
-),
-quantiles AS (
-  SELECT lang, source, measure, min(middle) FILTER (WHERE upto >= 0.25 * total) AS quarter,
-    min(middle) FILTER (WHERE upto >= 0.5 * total) AS half
+  SELECT doc_id, lang, source, measure, CAST(ceil(ln(value) / ln(1.005)) AS INTEGER) AS bin
   FROM (
-    SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY middle) AS upto,
-      sum(n) OVER (PARTITION BY lang, source, measure) AS total
-    FROM bins)
-  GROUP BY lang, source, measure
+    SELECT doc_id, lang, source, unnest(range({len(MEASURES)})) AS measure,
+      unnest([{", ".join(m for m, _ in MEASURES)}]) AS value
+    FROM counts WHERE n_words > 0)
+),
+sizes AS (
+  SELECT lang, source, n_docs, sum(n_docs) OVER (PARTITION BY lang) AS n_lang
+  FROM (SELECT lang, source, count(*) AS n_docs FROM counts WHERE n_words > 0 GROUP BY lang, source)
+),
+levels AS (
+  SELECT lang, source, CASE WHEN n_docs >= 50 THEN 0 WHEN n_lang >= 50 THEN 1 ELSE 2 END AS level FROM sizes
+),
+quartiles AS (
+  SELECT 0 AS level, lang, source, measure, quantile_disc(bin, [0.25, 0.75]) AS q
+  FROM measured GROUP BY lang, source, measure
+  UNION ALL
+  SELECT 1, lang, NULL, measure, quantile_disc(bin, [0.25, 0.75]) FROM measured GROUP BY lang, measure
+  UNION ALL
+  SELECT 2, NULL, NULL, measure, quantile_disc(bin, [0.25, 0.75]) FROM measured GROUP BY measure
 ),
 fences AS (
-  SELECT *, greatest(6.0 * (half - quarter),
-      list_extract([{", ".join(str(floor) for _, floor, _ in MEASURES)}], measure + 1)) AS beyond,
-    list_extract([{", ".join(str(low).lower() for _, _, low in MEASURES)}], measure + 1) AS has_low
-  FROM quantiles
+  SELECT g.lang, g.source, measure, q[1] - 3 * (q[2] - q[1]) AS low, q[2] + 3 * (q[2] - q[1]) AS high,
+    list_extract([{", ".join(str(low).lower() for _, low in MEASURES)}], measure + 1) AS has_low
+  FROM levels g JOIN quartiles f ON f.level = g.level
+    AND CASE WHEN g.level < 2 THEN g.lang END IS NOT DISTINCT FROM f.lang
+    AND CASE WHEN g.level < 1 THEN g.source END IS NOT DISTINCT FROM f.source
 ),
 outside AS (
   SELECT DISTINCT doc_id
   FROM measured m JOIN fences f ON m.measure = f.measure
     AND m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
-  WHERE value > half + beyond OR has_low AND value < half - beyond
+  WHERE bin > high OR has_low AND bin < low
 )
 SELECT counts.* EXCLUDE (lang, source),
   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,

@@ -1,10 +1,13 @@
 """Quality rules: thresholds from mergeable quantile sketches per language and source.
 
 A null text has no words and fails. Null languages and sources are groups of their own. Repeated rows
-count as often as they occur. An empty table gives an empty table. Only the named columns are read.
+count as often as they occur. An empty table gives an empty table. A very long text is measured whole, by
+array functions over its words. Only the named columns are read.
 
 A sketch holds counts of logarithmic bins: bin b has the values in (G^(b-1), G^b], so that a quantile is
-off by a factor of G at most. Sketches merge by adding counts, in any order, with the same result.
+off by a factor of G at most. Sketches merge by adding counts, in any order, with the same result. Rates are
+smoothed, so that a text without symbols or repeats has a value as well: the spread of a measure is never
+that of zeros alone, and one symbol in a short text is not the rate of a long text full of them.
 """
 
 import math
@@ -14,24 +17,26 @@ from pyspark.sql import functions as F
 
 from .common import saved, without_blanks, words
 
-GROWTH = 1.02
+GROWTH = 1.005
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-ZERO_BIN = -(2**30)
-
-#: Measure, its value, and the least distance of its fence from the median.
-MEASURES = (
-    ("symbol_rate", "n_symbols / word_chars", 0.05),
-    ("exclamation_rate", "n_exclamations / n_words", 0.3),
-    ("dup_line_rate", "n_dup_lines / n_lines", 0.5),
-    ("repeat_rate", "n_repeat_words / n_words", 0.3),
-    ("stutter_rate", "n_stutters / n_words", 0.1),
-    ("word_length", "word_chars / n_words", 2.0),
-)
+
+#: Measures of documents with words, all above zero.
+MEASURES = {
+    "symbol_rate": "(n_symbols + 1) / (word_chars + 100)",
+    "exclamation_rate": "(n_exclamations + 1) / (n_words + 20)",
+    "dup_line_rate": "(n_dup_lines + 1) / (n_lines + 5)",
+    "repeat_rate": "(n_repeat_words + 1) / (n_words + 20)",
+    "stutter_rate": "(n_stutters + 1) / (n_words + 20)",
+    "word_length": "word_chars / n_words",
+}
 #: Measures that can also be too low.
 BOTH_SIDES = ("word_length",)
-FENCE = 6.0
+#: Distance of a fence from its quartile, in distances between the quartiles, on the logarithmic scale.
+FENCE = 3
+#: A source with fewer documents has the fences of its language, a language with fewer those of all.
+MIN_GROUP = 50
 
 
 def _shingles(list_col, size):
@@ -105,73 +110,107 @@ def measure(docs, id_col="doc_id", text_col="text", lang_col="lang", source_col=
     )
 
 
-def _values(rows):
-    """One row for each document with words and measure."""
-    named = [F.struct(F.lit(n).alias("name"), F.expr(v).alias("value")) for n, v, _ in MEASURES]
-    return rows.filter("n_words > 0").select("lang", "source", F.inline(F.array(*named)))
+def _bins():
+    """Bin of each measure; null for a document without words."""
+    return {
+        name: F.when(F.col("n_words") > 0, F.ceil(F.log(F.expr(value)) / math.log(GROWTH)).cast("int"))
+        for name, value in MEASURES.items()
+    }
 
 
 def sketch(rows):
     """Counts of bins: the sketches of each measure for each language and source."""
-    bin_no = F.ceil(F.log("value") / math.log(GROWTH)).cast("int")
-    bin_no = F.when(F.col("value") > 0, bin_no).otherwise(ZERO_BIN)
+    bins = _bins()
+    named = [F.struct(F.lit(n).alias("name"), F.col(f"_{n}").alias("bin")) for n in MEASURES]
     return (
-        _values(rows)
-        .groupBy("lang", "source", "name", bin_no.alias("bin"))
+        rows.filter("n_words > 0")
+        .select("lang", "source", *(b.alias(f"_{n}") for n, b in bins.items()))
+        .select("lang", "source", F.inline(F.array(*named)))
+        .groupBy("lang", "source", "name", "bin")
         .agg(F.count("*").alias("n"))
     )
 
 
+def merged(sketches):
+    """Sketches of each source (level 0), each language (level 1) and all documents (level 2)."""
+    nothing = F.lit(None).cast("string")
+    levels = [
+        F.struct(F.lit(k).alias("level"), lang.alias("lang"), source.alias("source"))
+        for k, (lang, source) in enumerate(
+            [(F.col("lang"), F.col("source")), (F.col("lang"), nothing), (nothing, nothing)]
+        )
+    ]
+    return (
+        sketches.select(F.inline(F.array(*levels)), "name", "bin", "n")
+        .groupBy("level", "lang", "source", "name", "bin")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
 def fences(sketches):
-    """Lowest and highest value allowed: the median and, on both sides, a distance beyond it.
+    """Lowest and highest bin allowed in each group of `merged` sketches, and its number of documents.
 
-    That is `FENCE` times the distance of the lower quartile, or the measure's least one. Both quantiles
-    stay those of the good documents as long as these are above half of a group.
+    They lie `FENCE` times the distance between the quartiles beyond these. Both quartiles stay those of the
+    good documents as long as fewer than a quarter of a group are bad on one side. A group has no more bins
+    than the range of a measure, however many documents it has.
     """
-    group = Window.partitionBy("lang", "source", "name")
-    upto = F.sum("n").over(group.orderBy("bin"))
-    total = F.sum("n").over(group)
-    value = F.when(F.col("bin") == ZERO_BIN, 0.0).otherwise(
-        F.pow(F.lit(GROWTH), F.col("bin") - F.lit(0.5))
-    )
-    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("value")))
+    group = Window.partitionBy("level", "lang", "source", "name")
+    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin")))
     quartiles = (
-        sketches.select("lang", "source", "name", value.alias("value"), upto.alias("upto"),
-                        total.alias("total"))
-        .groupBy("lang", "source", "name")
-        .agg(at(0.25).alias("quarter"), at(0.5).alias("half"))
-    )
-    floors = F.create_map(*(F.lit(x) for n, _, floor in MEASURES for x in (n, floor)))
-    beyond = F.greatest(FENCE * (F.col("half") - F.col("quarter")), floors[F.col("name")])
-    low = F.when(F.col("name").isin(*BOTH_SIDES), F.col("half") - beyond).otherwise(-1.0)
-    fence = quartiles.select(
-        "lang", "source", "name", low.alias("low"), (F.col("half") + beyond).alias("high")
+        sketches.withColumn("upto", F.sum("n").over(group.orderBy("bin")))
+        .withColumn("total", F.sum("n").over(group))
+        .groupBy("level", "lang", "source", "name")
+        .agg(at(0.25).alias("first"), at(0.75).alias("third"), F.first("total").alias("total"))
     )
+    beyond = FENCE * (F.col("third") - F.col("first"))
+    ends = {"low": F.col("first") - beyond, "high": F.col("third") + beyond}
     per_name = [
-        F.max(F.when(F.col("name") == n, F.col(side))).alias(f"{n}_{side}")
-        for n, _, _ in MEASURES
-        for side in ("low", "high")
+        F.max(F.when(F.col("name") == n, end)).alias(f"{n}_{side}")
+        for n in MEASURES
+        for side, end in ends.items()
+        if side == "high" or n in BOTH_SIDES
     ]
-    return fence.groupBy("lang", "source").agg(*per_name)
+    return quartiles.groupBy("level", "lang", "source").agg(F.max("total").alias("n_docs"), *per_name)
+
+
+def group_fences(sketches):
+    """For each language and source, its own fences or those of the group it is pooled with."""
+    found = saved(fences(merged(sketches)))
+    langs = found.filter("level = 1").select(F.col("lang").alias("l"), F.col("n_docs").alias("n_lang"))
+    level = F.when(F.col("n_docs") >= MIN_GROUP, 0).when(F.col("n_lang") >= MIN_GROUP, 1).otherwise(2)
+    groups = (
+        found.filter("level = 0")
+        .join(langs, F.col("lang").eqNullSafe(F.col("l")))
+        .select("lang", "source", level.alias("level"))
+    )
+    pooled = found.withColumnsRenamed({"level": "k", "lang": "l", "source": "s"})
+    of_level = (
+        (F.col("level") == F.col("k"))
+        & F.when(F.col("level") < 2, F.col("lang")).eqNullSafe(F.col("l"))
+        & F.when(F.col("level") < 1, F.col("source")).eqNullSafe(F.col("s"))
+    )
+    return groups.join(pooled, of_level).drop("k", "l", "s")
 
 
 def quality_rules(docs, id_col="doc_id", text_col="text", lang_col="lang", source_col="source"):
     """Counts of each document, `base_failed` by fixed cutoffs, `kept` by both these and the fences.
 
-    The fences of a language and source come from all its documents. The table of counts is written once
-    and read twice: for the sketches and for the filter joined to the fences.
+    The fences of a language and source come from all its documents, or from those of a wider group if they
+    are few. The table of counts is written once and read twice: for the sketches and for the filter joined
+    to the fences.
     """
     rows = saved(measure(docs, id_col, text_col, lang_col, source_col))
-    limits = fences(sketch(rows)).withColumnsRenamed({"lang": "l", "source": "s"})
+    limits = group_fences(sketch(rows)).drop("level", "n_docs").withColumnsRenamed({"lang": "l", "source": "s"})
     joined = rows.join(
         limits,
         F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")),
         "left",
     )
     inside = F.lit(True)
-    for name, value, _ in MEASURES:
-        measured = F.expr(f"try_divide({value.replace(' / ', ', ')})")
-        inside &= measured.between(F.col(f"{name}_low"), F.col(f"{name}_high"))
+    for name, measured in _bins().items():
+        inside &= measured <= F.col(f"{name}_high")
+        if name in BOTH_SIDES:
+            inside &= measured >= F.col(f"{name}_low")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )

@@ -1,6 +1,7 @@
 """Each operator against a plain brute-force version on small tables."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -483,23 +484,48 @@ def test_quality_counts_and_verdicts(spark):
     assert sum(got[i]["kept"] for i, *_ in rows) >= 0.9 * sum(not got[i]["base_failed"] for i, *_ in rows)
 
 
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_exclamations", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters"]
+
+
+def _counted(spark, rows):
+    return spark.createDataFrame(rows, f"doc_id long, lang string, source string, {', '.join(n + ' long' for n in COUNTS)}")
+
+
 def test_sketches_merge_and_are_near_the_quantiles(spark):
     rng = random.Random(11)
     rows = [
         (i, "x", "s", n, n * rng.randint(2, 9), 0, 0, 1, 0, 0, 0) for i in range(400) for n in [rng.randint(20, 90)]
     ]
-    names = ["n_words", "word_chars", "n_symbols", "n_exclamations", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters"]
-    table = spark.createDataFrame(rows, f"doc_id long, lang string, source string, {', '.join(n + ' long' for n in names)}")
+    table = _counted(spark, rows)
     key = ["lang", "source", "name", "bin"]
     halves = [quality_rules.sketch(table.filter(f"doc_id % 2 = {k}")) for k in (0, 1)]
     merged = halves[0].unionByName(halves[1]).groupBy(*key).agg(F.sum("n").alias("n"))
     whole = quality_rules.sketch(table)
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
-    fence = quality_rules.fences(whole).first()
+    fence = quality_rules.group_fences(whole).first()
     lengths = sorted(r[4] / r[3] for r in rows)
-    half, quarter = lengths[199], lengths[99]
-    want = half + max(2.0, quality_rules.FENCE * (half - quarter))
-    assert fence["word_length_high"] == pytest.approx(want, rel=0.1)
+    first, third = lengths[99], lengths[299]
+    want = third * (third / first) ** quality_rules.FENCE
+    # two bins off in the distance, three times, and one in the quartile
+    assert fence["word_length_high"] == pytest.approx(math.log(want) / math.log(quality_rules.GROWTH), abs=8)
+    assert fence["word_length_low"] < math.log(lengths[0]) / math.log(quality_rules.GROWTH)
+
+
+def test_fences_follow_spread_and_small_groups_are_pooled(spark):
+    rng = random.Random(12)
+    spreads = {("x", "tight"): (48, 52, 300), ("x", "wide"): (20, 80, 300), ("x", "few"): (48, 52, 5), ("y", "few"): (48, 52, 5)}
+    rows = [
+        (rng.random(), lang, source, 100, rng.randint(low * 10, high * 10), 0, 0, 1, 0, 0, 0)
+        for (lang, source), (low, high, n) in spreads.items() for _ in range(n)
+    ]
+    table = _counted(spark, [(i, *r[1:]) for i, r in enumerate(rows)])
+    sketches = quality_rules.sketch(table)
+    got = {(r["lang"], r["source"]): r for r in quality_rules.group_fences(sketches).collect()}
+    assert {k: r["level"] for k, r in got.items()} == {("x", "tight"): 0, ("x", "wide"): 0, ("x", "few"): 1, ("y", "few"): 2}
+    high = {k: r["word_length_high"] for k, r in got.items()}
+    assert high[("x", "tight")] < high[("x", "few")] < high[("x", "wide")]
+    levels = {r["level"]: r["n_docs"] for r in quality_rules.fences(quality_rules.merged(sketches)).filter("level > 0 and lang is distinct from 'y'").collect()}
+    assert levels == {1: 605, 2: 610}
 
 
 # byte-level BPE
