@@ -4,7 +4,12 @@ One pass of an Aho-Corasick automaton over a text finds at-signs, schemes, plus
 that announce an identifier. A parser of the cue's kind walks from there to both ends of what it belongs
 to and checks it. Spans are counted in code points, the end exclusive. A null or empty text has no spans.
 Repeated rows are searched like any other, an empty table gives an empty table, and only the named
-columns are read.
+columns are read. A very long text is searched whole; parsers never go back over a span, so time follows length.
+
+Cues and schemes are found in any case of A to Z. What a cue announces is an account number (an IBAN that
+passes its check digits, in one run or in groups; otherwise six or more letters, digits and hyphens with four
+digits, after words like "number" if any) or, after a colon or an equals sign, a secret of any four or more
+characters.
 """
 
 import re
@@ -22,10 +27,8 @@ KINDS = (*BASE_KINDS, "url", "account")
 
 # Cues of links and of identifiers.
 SCHEMES = ("http://", "https://", "ftp://", "www.")
-ACCOUNT_CUES = (
-    "account", "acct", "iban", "konto", "kontonummer", "compte", "cuenta", "passport", "ssn", "token",
-    "api_key", "password", "secret",
-)
+ACCOUNT_CUES = ("account", "acct", "iban", "konto", "kontonummer", "compte", "cuenta", "passport", "ssn")
+SECRET_CUES = ("token", "api_key", "api-key", "api key", "apikey", "password", "passwd", "pwd", "secret")
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
@@ -34,6 +37,7 @@ LABEL = frozenset(LETTERS + DIGITS + "-")
 PHONE = frozenset(DIGITS + " ().-")
 ACCOUNT = frozenset(LETTERS + DIGITS + "-")
 URL_STOP = frozenset("<>\"'`{}|\\^")
+LOWER = str.maketrans(LETTERS[:26], LETTERS[26:])
 
 
 def _run(text, at, allowed):
@@ -114,19 +118,61 @@ def url(text, at, free):
         end += 1
     while end > at and text[end - 1] in ".,;:!?)]":
         end -= 1
-    return at, end, "." in text[at:end].strip("w.")
+    return at, end, "." in text[at:end].strip("wW.")
+
+
+_FILLER = "number|numero|numéro|número|nummer|num|no|nr|id|is"
+_ACCOUNT_LEAD = re.compile(rf"(?:[ \t]{{0,3}}(?:{_FILLER})\b){{0,2}}[ \t:=#\"'.]{{1,4}}", re.IGNORECASE)
+_GROUPS = re.compile("[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}")
+_SECRET = re.compile(r"""["']?[ \t]{0,2}[:=][ \t]{0,2}["']?([^\s"'`<>,;()\[\]{}]{4,})""")
+
+
+def iban(text, at):
+    """End of the longest account number there that passes its check digits, or None.
+
+    Groups may stand apart by one space; the number ends where a group does.
+    """
+    found = _GROUPS.match(text, at)
+    if not found:
+        return None
+    whole = found[0]
+    ends = [i for i, c in enumerate(whole) if c == " "]
+    if not text[found.end() : found.end() + 1].isalnum():
+        ends.append(len(whole))
+    for end in reversed(ends):
+        number = whole[:end].replace(" ", "").upper()
+        if len(number) >= 15 and int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1:
+            return at + end
+    return None
 
 
 def account(text, at, free):
-    """Identifier after a cue that ends there: a colon, equals or number sign, then letters and digits."""
-    start = at
-    while start < len(text) and start - at < 4 and text[start] in " :=#\"'":
-        start += 1
+    """Account number after a cue that ends there, after separators and words that say so."""
+    lead = _ACCOUNT_LEAD.match(text, at)
+    if not lead:
+        return None
+    start = lead.end()
+    end = iban(text, start)
+    if end:
+        return start, end, True
+    if text[at - 4 : at].translate(LOWER) == "iban":
+        return None
     end = _run(text, start, ACCOUNT)
     while end > start and text[end - 1] == "-":
         end -= 1
     found = text[start:end]
-    return start, end, start > at and len(found) >= 6 and sum(c in DIGITS for c in found) >= 4
+    return start, end, len(found) >= 6 and sum(c in DIGITS for c in found) >= 4
+
+
+def secret(text, at, free):
+    """Secret after a cue that ends there and a colon or an equals sign, without closing punctuation."""
+    found = _SECRET.match(text, at)
+    if not found:
+        return None
+    start, end = found.span(1)
+    while end > start and text[end - 1] in ".:!?":
+        end -= 1
+    return start, end, end - start >= 4
 
 
 def _automaton():
@@ -138,8 +184,9 @@ def _automaton():
     for scheme in SCHEMES:
         cues.add_word(scheme, len(scheme))
     for cue in ACCOUNT_CUES:
-        for written in {cue, cue.upper(), cue.capitalize()}:
-            cues.add_word(written, "a")
+        cues.add_word(cue, "a")
+    for cue in SECRET_CUES:
+        cues.add_word(cue, "s")
     cues.make_automaton()
     return cues
 
@@ -163,7 +210,7 @@ def spans(text):
                 found[kind].append(span[:2])
 
     digits_end = 0
-    for end, cue in memory["cues"].iter(text):
+    for end, cue in memory["cues"].iter(text.translate(LOWER)):
         if cue == "0":
             # runs of digits are expanded from their first digit
             if end >= digits_end:
@@ -179,6 +226,9 @@ def spans(text):
         elif cue == "a":
             if end + 1 >= free["account"]:
                 expand("account", account, end + 1)
+        elif cue == "s":
+            if end + 1 >= free["account"]:
+                expand("account", secret, end + 1)
         elif end + 1 - cue >= free["url"]:
             expand("url", url, end + 1 - cue)
     return found

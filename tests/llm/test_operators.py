@@ -280,6 +280,33 @@ def test_added_spans(spark):
     assert row["email_spans"] == f"email:{at}:{len(text)}" and row["n_url"] == 2
 
 
+ANNOUNCED = {
+    "IBAN: DE89 3704 0044 0532 0130 00 please": ["DE89 3704 0044 0532 0130 00"],
+    "iban de89370400440532013000.": ["de89370400440532013000"],
+    "IBAN: GB82 WEST 1234 5698 7654 32": ["GB82 WEST 1234 5698 7654 32"],
+    "IBAN: DE00370400440532013000": [],
+    "Konto DE89370400440532013000": ["DE89370400440532013000"],
+    "account number: 12345678": ["12345678"],
+    "Kontonummer 12-345678, Acct No. 87654321": ["12-345678", "87654321"],
+    "the account was closed in 1999": [],
+    "password: hunter2": ["hunter2"],
+    "PASSWORD=correcthorse!": ["correcthorse"],
+    'api_key = "sk_live_abc123456"': ["sk_live_abc123456"],
+    "Token: abcd, Secret=é😀xy": ["abcd", "é😀xy"],
+    "a token of thanks; his secretary: Ann; no password here": [],
+    "password:": [],
+}
+
+
+def test_announced_numbers_and_secrets():
+    for text, want in ANNOUNCED.items():
+        assert [text[a:b] for a, b in pii.spans(text)["account"]] == want, text
+    text = "İ HTTPS://example.com/x and WWW.x.org"
+    assert [text[a:b] for a, b in pii.spans(text)["url"]] == ["HTTPS://example.com/x", "WWW.x.org"]
+    long = "password " * 100_000 + "IBAN: " * 100_000 + "account number " * 100_000 + "password=" + "x" * 100_000
+    assert [b - a for a, b in pii.spans(long)["account"]] == [100_000]
+
+
 # simhash
 
 
