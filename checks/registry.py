@@ -10,9 +10,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replycast.functions import html, scalars, words
+from replycast.functions import html, scalars, sentences, words
 from replycast.functions.pos import COUNTED
-from replycast.operators import answers, forums, nlp, prefix, tags, users, votes
+from replycast.operators import abbreviations, answers, forums, nlp, prefix, tags, users, votes
 from replycast.plans import explore, features, model, scoring, snapshot
 from replycast.plans.names import STATUS_NAMES, HISTORY_NAMES, TARGET, TARGETS
 from replycast.session import shared_dir
@@ -354,6 +354,20 @@ def sentence_counts(spark, sf_dir):
     return _documents(spark, sf_dir, n_sentences=words.sentence_count(F.col("text")))
 
 
+def _abbreviations(spark, sf_dir):
+    return abbreviations.abbreviation_scores(abbreviations.period_counts(tables(spark, sf_dir)("documents")))
+
+
+def abbreviation_scores(spark, sf_dir):
+    return _abbreviations(spark, sf_dir).withColumn("score", F.round("score", 4))
+
+
+def sentence_boundaries(spark, sf_dir):
+    known = abbreviations.read_abbreviations(_abbreviations(spark, sf_dir))
+    found = sentences.sentences(F.col("text"), known)
+    return _documents(spark, sf_dir, n_sentences=F.size(found), longest=F.array_max(F.transform(found, F.length)))
+
+
 def _profiled(spark, sf_dir):
     return nlp.text_features(_documents(spark, sf_dir, text=F.col("text")), "text", "text")
 
@@ -613,6 +627,8 @@ QUERIES = {
         token_counts,
         stopword_counts,
         sentence_counts,
+        abbreviation_scores,
+        sentence_boundaries,
         stem_features,
         pos_features,
         questions_nlp,
