@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from replycast.functions import html, scalars, sentences, words
 from replycast.functions.pos import COUNTED
 from replycast.operators import abbreviations, answers, forums, nlp, prefix, tags, users, votes
-from replycast.plans import explore, features, model, scoring, snapshot
+from replycast.plans import explore, features, model, ranks, scoring, snapshot
 from replycast.plans.names import STATUS_NAMES, HISTORY_NAMES, TARGET, TARGETS
 from replycast.session import shared_dir
 from replycast.sources import dump, importing, manifest, snapshots
@@ -457,6 +457,10 @@ def spearman_pairs(spark, sf_dir):
     return _rounded(explore.spearman_pairs(_training(spark, sf_dir), CANDIDATES), "cor")
 
 
+def spearman_sketch(spark, sf_dir):
+    return _rounded(ranks.spearman_sketch(_training(spark, sf_dir), CANDIDATES), "cor")
+
+
 # --- model -----------------------------------------------------------------------------------
 
 
@@ -641,6 +645,7 @@ QUERIES = {
         forum_rates,
         class_means,
         spearman_pairs,
+        spearman_sketch,
         split_counts,
         gbt_metrics,
         confusion,
