@@ -93,8 +93,8 @@ def split_tags(spark, sf_dir):
 # --- dump files ------------------------------------------------------------------------------
 
 
-def _as_dump(df, entity, times, path):
-    """Write a table as dump rows: one attribute per column, times as text."""
+def _as_dump(df, entity, times, path, by=()):
+    """Write a table as dump rows: one attribute per column, times as text; a folder for each value of `by`."""
     attributes = {name: attr for attr, name, _ in dump.ENTITIES[entity].fields}
     columns = []
     for name in (c for c in df.columns if c in attributes):
@@ -104,13 +104,22 @@ def _as_dump(df, entity, times, path):
         elif name == "tags":
             col = F.concat(F.lit("<"), F.array_join(col, "><"), F.lit(">"))
         columns.append(col.alias("_" + attributes[name]))
-    df.select(*columns).write.format("xml").options(rootTag=entity, rowTag="row").save(path)
+    written = df.select(*columns, *by).write.partitionBy(*by)
+    written.format("xml").options(rootTag=entity, rowTag="row").save(path)
 
 
 def _round_trip(spark, df, entity, times):
-    path = _new_path(spark, entity)
-    _as_dump(df, entity, times, path)
-    return dump.read_entity(spark, entity, path)
+    """A table written as dump files that are named after their forum, and read again."""
+    path, named = _new_path(spark, entity), _new_path(spark, f"{entity}-named")
+    _as_dump(df, entity, times, path, ["dataset_name"])
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    files = Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(Path(named))
+    for folder in files.globStatus(Path(f"{path}/dataset_name=*")):
+        forum = folder.getPath().getName().removeprefix("dataset_name=")
+        for number, file in enumerate(files.listStatus(folder.getPath())):
+            files.rename(file.getPath(), Path(f"{named}/{forum}.{entity}.{number}.xml"))
+    return dump.read_entity(spark, entity, named)
 
 
 def ingest_posts(spark, sf_dir):
@@ -132,6 +141,7 @@ def ingest_posts(spark, sf_dir):
             "answer_count",
             "closed_date",
             "creation_year",
+            "dataset_name",
         ),
         "tags",
     )
@@ -140,20 +150,20 @@ def ingest_posts(spark, sf_dir):
 def ingest_votes(spark, sf_dir):
     ballots = tables(spark, sf_dir)("votes").drop("creation_year")
     read = _round_trip(spark, ballots, "votes", ("creation_date",))
-    return read.select("post_id", "vote_type_id", "creation_date", "creation_year")
+    return read.select("post_id", "vote_type_id", "creation_date", "creation_year", "dataset_name")
 
 
 def ingest_users(spark, sf_dir):
     people = users_view(_driver_tables(spark, sf_dir))
     read = _round_trip(spark, people, "users", ("creation_date",))
     kept = ["id", "creation_date", "display_name", "website_url", "location", "about_me"]
-    return read.select(*kept, "creation_year")
+    return read.select(*kept, "creation_year", "dataset_name")
 
 
 def ingest_badges(spark, sf_dir):
     t = _driver_tables(spark, sf_dir)
     read = _round_trip(spark, badges_view(t, users_view(t)), "badges", ("date",))
-    return read.select("id", "user_id", "name", "date", "class", "year")
+    return read.select("id", "user_id", "name", "date", "class", "year", "dataset_name")
 
 
 def ingest_increment(spark, sf_dir):
