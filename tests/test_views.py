@@ -1,11 +1,14 @@
 """The derived tables: written when asked for, without texts, which no shuffle carries either."""
 
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import registry, views
+from replycast.plans import scoring
+from replycast.sources import dump
 
 SMALL = "/root/testdata/sf0.001"
 ROWS = {
@@ -69,3 +72,25 @@ def test_no_exchange_carries_question_texts(spark, name):
     assert shuffled
     assert not [s for s in shuffled if re.search(r"\b(body|title|body_clean\w*)#", s)]
     assert df.where(F.lit(True)).count() > 0
+
+
+def test_no_exchange_carries_request_texts(spark):
+    asked = scoring.described_requests(scoring.parse_requests(registry.requests(spark, SMALL)))
+    found = scoring.enrich_requests(asked, *registry._snapshots(spark, SMALL))
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert shuffled
+    assert not [s for s in shuffled if re.search(r"\b(body|title|body_clean\w*|request|postBody)#", s)]
+
+
+def test_texts_are_split_into_sentences_once(spark):
+    plan = registry.sentence_boundaries(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_join") == 1
+
+
+def test_dumps_are_compressed_and_read_again(spark, tmp_path):
+    votes = views.tables(spark, SMALL)("votes").drop("creation_year")
+    registry._as_dump(votes, "votes", ("creation_date",), f"{tmp_path}/votes")
+    files = [f for f in os.listdir(f"{tmp_path}/votes") if f.startswith("part")]
+    assert files and all(f.endswith(".xml.gz") for f in files)
+    assert dump.read_entity(spark, "votes", f"{tmp_path}/votes").count() == votes.count()
