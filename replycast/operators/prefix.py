@@ -43,7 +43,7 @@ def _read(spark, path, before):
     return [spark.read.parquet(f) for f in folders]
 
 
-def prefix_totals(path, part, events, keys, at, sums, inclusive=False, lags=None, first=None):
+def prefix_totals(path, part, events, keys, at, sums, inclusive=False, lags=None, first=None, wanted=None):
     """`running_totals` of the events of a new part, after those that `path` keeps; the part is kept too.
 
     `part` is the date on which the part begins. Events before it would change totals that were given
@@ -74,12 +74,13 @@ def prefix_totals(path, part, events, keys, at, sums, inclusive=False, lags=None
         inclusive=inclusive,
         lags={out: (F.col(f"_lag_{out}"), days) for out, (_, days) in lags.items()},
         first=first,
+        wanted=F.col("_new") if wanted is None else F.col("_new") & wanted,
     )
     days = _kept(
         events.withColumns(measures), keys, at, {m: F.col(m) for m in measures}, F.to_date(at)
     ).withColumn("bucket", _bucket(keys))
     days.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/part={name}")
-    return totals.where("_new").drop("_new", *measures)
+    return totals.drop("_new", *measures)
 
 
 def compact(spark, path, upto, keys, at, longest_lag=0):

@@ -69,6 +69,27 @@ def test_running_totals_of_events_without_a_time(spark):
     assert sorted((r.id, r.n, r.since) for r in got.collect()) == [(1, 0, None), (2, 1, at("2020-01-01"))]
 
 
+def test_running_totals_of_wanted_events_alone(spark):
+    """Totals as of all events, keys and times that are null included; hours without a wanted event go early."""
+    rows = [(k, t, i) for i, (k, t) in enumerate(
+        (k, t) for k in ("a", "b", None) for t in ("2020-01-01 05:10:00", "2020-01-01 05:20:00", "2020-01-02 07:00:00", None)
+        for _ in range(3)
+    )]
+    events = spark.createDataFrame(rows, "k string, t string, id int").withColumn("t", F.to_timestamp("t"))
+    args = ["k"], "t", {"n": F.lit(1), "ids": F.col("id")}
+    wanted = F.when(F.col("id") % 5 == 0, True)
+    assert same(skew.running_totals(events, *args, wanted=wanted), skew.running_totals(events, *args).where(wanted))
+
+
+def test_author_history_shuffles_no_measures(spark, make_posts):
+    """What is shuffled for the posts are the four columns that the eight measures are made of."""
+    history = users.user_history(make_posts({"id": 1, "owner_user_id": 2, "creation_date": at("2020-01-01")}))
+    plan = history._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join LeftOuter"):].splitlines()[1:]
+    posts = next(line for line in joined if "Project" in line)
+    assert "n_user_" not in posts and "accepted_answer_id" in posts and "_asked" in posts
+
+
 # --- rules ------------------------------------------------------------------------------------
 
 
