@@ -51,11 +51,14 @@ def _bucket(key):
 def publish_indexed(rows, path, key="id"):
     """Write `rows`, one for each key, as a new version that `read_matching` finds its way in.
 
-    Rows are dealt into buckets by key, sorted by it, and files have a Bloom filter of it.
+    Rows are dealt into buckets by key, sorted by it, and files have a Bloom filter of it, as large as
+    the file's keys ask for.
     """
     number = max([0, *_versions(rows.sparkSession, path, begun=True)]) + 1
     dealt = rows.withColumn("bucket", _bucket(key)).repartition("bucket").sortWithinPartitions("bucket", key)
     writer = dealt.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true")
+    # without this a filter has a megabyte, however few keys there are
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     writer.partitionBy("bucket").parquet(f"{path}/version={number}")
 
 

@@ -244,3 +244,9 @@ def test_look_up_reads_what_can_match(spark, tmp_path):
     assert ask().collect() == []
     snapshots.publish_indexed(rows.where("n < 10"), path)
     assert ask("f:77").collect() == []
+
+
+def test_bloom_filters_are_as_large_as_their_files_need(spark, tmp_path):
+    snapshots.publish_indexed(spark.range(2000).withColumn("v", F.lit(1)), str(tmp_path / "snap"))
+    sizes = [f.stat().st_size for f in (tmp_path / "snap").rglob("*.parquet")]
+    assert len(sizes) > 200 and max(sizes) < 100_000
