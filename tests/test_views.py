@@ -94,3 +94,33 @@ def test_dumps_are_compressed_and_read_again(spark, tmp_path):
     files = [f for f in os.listdir(f"{tmp_path}/votes") if f.startswith("part")]
     assert files and all(f.endswith(".xml.gz") for f in files)
     assert dump.read_entity(spark, "votes", f"{tmp_path}/votes").count() == votes.count()
+
+
+def test_derived_tables_are_written_as_their_rows_lie(spark):
+    for name, (view, key) in views.WRITTEN.items():
+        rows = spark.range(3).select("id", F.current_timestamp().alias(key))
+        dated, years = views._by_year(rows, key)
+        plan = dated._jdf.queryExecution().optimizedPlan().toString()
+        assert years == dated.columns[-1] and "Rebalance" not in plan, name
+
+
+def test_word_queries_write_no_derived_table(spark):
+    before = views._written.cache_info().currsize
+    for name in ("pos_features", "abbreviation_scores"):
+        assert registry.QUERIES[name](spark, f"{SMALL}//").count() > 0
+    assert views._written.cache_info().currsize == before
+
+
+def test_question_words_shuffle_no_body(spark):
+    """Texts are joined to the places of the questions; past that join there is no shuffle."""
+    plan = registry.questions_nlp(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("ArrowEvalPython")]
+    assert "Exchange" not in above
+
+
+def test_indexed_lookup_reads_the_texts_once_for_all_its_lookups(spark, monkeypatch):
+    read, parse = [], scoring.read_matching
+    monkeypatch.setattr(scoring, "read_matching", lambda spark, path, keys: read.append(keys) or parse(spark, path, keys))
+    found = registry.indexed_lookup(spark, SMALL)
+    plans = [keys._jdf.queryExecution().optimizedPlan().toString() for keys in read]
+    assert len(plans) == 2 and not any("from_json" in p for p in plans) and found.count() > 0
