@@ -8,6 +8,7 @@ gives an empty table, and only the named columns are read.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from .common import travels
@@ -77,8 +78,8 @@ def log_ratios(samples, labels):
     for buckets, label in zip(samples, labels):
         counts[label, buckets] += 1
     seen = counts.sum(axis=0) > 2 * PRIOR
-    rates = counts / counts.sum(axis=1, keepdims=True)
-    return np.where(seen, np.log(rates[1] / rates[0]), 0.0)
+    counts /= counts.sum(axis=1, keepdims=True)
+    return np.where(seen, np.log(counts[1] / counts[0]), 0.0)
 
 
 def fit_hinge(samples, labels, ratios, rng):
@@ -90,15 +91,20 @@ def fit_hinge(samples, labels, ratios, rng):
     signs = np.where(labels == 1, 1.0, -1.0)
     share = np.array([(signs == s).mean() for s in (-1.0, 1.0)])
     bound = np.where(signs > 0, COST / (2 * share[1]), COST / (2 * share[0]))
-    values = []
-    for buckets in samples:
+    lengths = np.empty(len(samples))
+    for i, buckets in enumerate(samples):
         v = ratios[buckets]
-        values.append(v / max(np.sqrt(v @ v), 1e-12))
-    square = np.array([v @ v for v in values]) + 1.0
+        lengths[i] = max(np.sqrt(v @ v), 1e-12)
+
+    def value(i):
+        """Made anew each time: the values of all samples would take twice the space of their buckets."""
+        return ratios[samples[i]] / lengths[i]
+
+    square = np.array([v @ v for v in map(value, range(len(samples)))]) + 1.0
     weights, bias, alpha = np.zeros(1 << BITS), 0.0, np.zeros(len(samples))
     for _ in range(ROUNDS):
         for i in rng.permutation(len(samples)):
-            buckets, v, sign = samples[i], values[i], signs[i]
+            buckets, v, sign = samples[i], value(i), signs[i]
             slope = sign * (weights[buckets] @ v + bias) - 1.0
             new = min(max(alpha[i] - slope / square[i], 0.0), bound[i])
             step = (new - alpha[i]) * sign
@@ -202,9 +208,11 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="quality", lea
 
     kind = dict(docs.dtypes)[id_col]
     rows = joined.mapInArrow(buckets, f"doc_id {kind}, label int, buckets binary").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("buckets", "ascending")])
-    samples = [np.frombuffer(b.as_buffer(), np.int32) for b in rows["buckets"]]
-    return Model(samples, rows["label"].to_numpy().astype(np.int64))
+    # the order alone: a sorted table would be a copy
+    order = pc.sort_indices(rows, [("doc_id", "ascending"), ("buckets", "ascending")])
+    found = [np.frombuffer(b.as_buffer(), np.int32) for b in rows["buckets"]]
+    samples = [found[i] for i in order.to_numpy()]
+    return Model(samples, rows["label"].take(order).to_numpy().astype(np.int64))
 
 
 def score_column(spark, model, text_col="text"):

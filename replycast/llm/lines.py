@@ -149,7 +149,10 @@ def _pairs(entries):
 
 
 def _candidates(lines, distance):
-    """Pairs of lines with a common segment and, of the groups split to the end, members and rests."""
+    """Pairs of lines with a common segment and, of the groups split to the end, ids of lines with an earlier one.
+
+    Both are written level by level, so that no plan holds the joins of all the levels.
+    """
     entries = _entries(_first_rows(lines, distance), distance)
     entries = entries.withColumn("cuts", F.lit(None).cast("array<bigint>"))
     pairs, ends = [], []
@@ -162,17 +165,18 @@ def _candidates(lines, distance):
         cuts = F.concat(F.coalesce("cuts", F.array().cast("array<bigint>")), F.array("cut"))
         groups = saved(entries.join(sizes, "key").withColumn("cuts", cuts).drop("cut"))
         few = F.col("n_index") * F.col("n") <= FEW * F.col("n")
-        pairs.append(_pairs(groups.filter(few)))
+        pairs.append(saved(_pairs(groups.filter(few))))
         large = groups.filter(~few).drop("n_index", "n")
         if large.isEmpty():
             return pairs, ends
         rows = large.withColumnRenamed("key", "base").join(lines.select(*ID, "line", "first"), ID)
         rows = rows.withColumn("rest", _rest(F.col("line"), F.col("cuts"))).drop("line")
-        last = rows.filter(F.col("l") <= distance)
-        if distance == 1:
-            ends.append(last)
-        else:
-            pairs.append(_pairs(last.withColumnRenamed("base", "key")))
+        if not large.filter(F.col("l") <= distance).isEmpty():
+            last = rows.filter(F.col("l") <= distance)
+            if distance == 1:
+                ends.append(saved(_ended(last, distance)))
+            else:
+                pairs.append(saved(_pairs(last.withColumnRenamed("base", "key"))))
         entries = _entries(rows.filter(F.col("l") > distance).drop("first"), distance)
 
 
@@ -311,8 +315,8 @@ def near_earlier(lines, distance=DISTANCE):
         F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("h1"),
         F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("h2"),
     )
-    for rows in ends:
-        found = found.unionByName(_ended(rows, distance))
+    for ids in ends:
+        found = found.unionByName(ids)
     return found.distinct()
 
 

@@ -1,7 +1,9 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import tracemalloc
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +170,26 @@ def test_manifest_of_nulls_and_repeated_rows(docs):
 def test_null_and_empty_texts_are_one_id(docs):
     rows = packing.pack(docs, WORDS).filter("doc_id in (3, 4, 5)").collect()
     assert {(r["length"], r["doc_tokens"], bytes(r["ids"])) for r in rows} == {(1, 1, b"\x01\0\0\0")}
+
+
+def test_the_classifier_makes_no_table_of_values():
+    """Values are made from the buckets when they are used, so the fit needs less than the buckets take once more."""
+    rng = np.random.default_rng(1)
+    samples = [rng.integers(0, 1 << classifier.BITS, 20_000).astype(np.int32) for _ in range(300)]
+    ratios = rng.normal(size=1 << classifier.BITS)
+    tracemalloc.start()
+    classifier.fit_hinge(samples, np.arange(300) % 2, ratios, rng)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(b.nbytes for b in samples) / 2
+
+
+def test_levels_of_near_lines_are_no_part_of_the_last_plan(spark):
+    """A group of near lines so large that it is cut and split again and again."""
+    texts = ["the same long line of very many words with one odd sign at the end " + chr(0x4E00 + i) for i in range(40)]
+    rows = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "line string, first int")
+    table = lines.saved(rows.select(*lines._hashes(F.col("line")), "line", "first"))
+    found = lines.near_earlier(table)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") <= 2 and plan.count("Generate") <= 0
+    assert found.count() == 39
