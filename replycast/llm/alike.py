@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved_alone
 
 ID = ("h1", "h2")
 #: Groups of up to this many rows are paired at once.
@@ -45,7 +45,7 @@ def checked_pairs(entries, check, ratio, order=None, ids=ID):
     ids = list(ids)
     pair, x_ends = _ends("a", ids) + _ends("b", ids), _ends("x", ids)
     sizes = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    groups = saved(entries.join(sizes, "key"))
+    groups = saved_alone(entries.join(sizes, "key"))
     sized = F.least("x_n", "y_n") >= ratio * F.greatest("x_n", "y_n") - 1e-6
 
     def met(x, y):
@@ -57,13 +57,13 @@ def checked_pairs(entries, check, ratio, order=None, ids=ID):
     if large.isEmpty():
         return check(pairs.distinct())
     placed = large.join(order, ids) if order is not None else large.withColumn("first", F.lit(0))
-    firsts = saved(placed.groupBy("key").agg(F.min(F.struct("first", *ids, "n")).alias("p")))
+    firsts = saved_alone(placed.groupBy("key").agg(F.min(F.struct("first", *ids, "n")).alias("p")))
     firsts = firsts.select("key", *(F.col(f"p.{c}").alias(y) for c, y in zip(ids, _ends("y", ids))), "p.n")
     firsts = firsts.withColumnRenamed("n", "y_n")
     star = _ordered(met(_side(large, "x", ids), firsts), ids, "key", *x_ends)
-    near = saved(check(pairs.unionByName(star.drop("key", *x_ends)).distinct()))
+    near = saved_alone(check(pairs.unionByName(star.drop("key", *x_ends)).distinct()))
     settled = star.join(near, pair).select("key", *x_ends)
     settled = settled.unionByName(firsts.select("key", *(F.col(f"y{x[1:]}").alias(x) for x in x_ends)))
-    others = saved(_side(large, "x", ids).join(settled, ["key", *x_ends], "left_anti"))
+    others = saved_alone(_side(large, "x", ids).join(settled, ["key", *x_ends], "left_anti"))
     more = _ordered(met(others, _side(large, "y", ids)), ids).distinct()
     return near.unionByName(check(more.join(near, pair, "left_anti")))

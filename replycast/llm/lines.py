@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from .alike import checked_pairs
-from .common import saved, words
+from .common import saved_alone, shuffles_freed, words
 
 MIN_CHARS = 20
 DISTANCE = 1
@@ -55,8 +55,9 @@ def _bucketed(df, columns):
     """
     spark, name = df.sparkSession, f"llm_{uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
-    writer.bucketBy(buckets, *columns).saveAsTable(name)
+    with shuffles_freed(spark):
+        writer = df.select("*").write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+        writer.bucketBy(buckets, *columns).saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return table
@@ -163,9 +164,9 @@ def _candidates(lines, distance):
         sizes = sizes.filter("n_index > 0 AND n > 1")
         # cuts of earlier levels and the one of this level
         cuts = F.concat(F.coalesce("cuts", F.array().cast("array<bigint>")), F.array("cut"))
-        groups = saved(entries.join(sizes, "key").withColumn("cuts", cuts).drop("cut"))
+        groups = saved_alone(entries.join(sizes, "key").withColumn("cuts", cuts).drop("cut"))
         few = F.col("n_index") * F.col("n") <= FEW * F.col("n")
-        pairs.append(saved(_pairs(groups.filter(few))))
+        pairs.append(saved_alone(_pairs(groups.filter(few))))
         large = groups.filter(~few).drop("n_index", "n")
         if large.isEmpty():
             return pairs, ends
@@ -174,9 +175,9 @@ def _candidates(lines, distance):
         if not large.filter(F.col("l") <= distance).isEmpty():
             last = rows.filter(F.col("l") <= distance)
             if distance == 1:
-                ends.append(saved(_ended(last, distance)))
+                ends.append(saved_alone(_ended(last, distance)))
             else:
-                pairs.append(saved(_pairs(last.withColumnRenamed("base", "key"))))
+                pairs.append(saved_alone(_pairs(last.withColumnRenamed("base", "key"))))
         entries = _entries(rows.filter(F.col("l") > distance).drop("first"), distance)
 
 
@@ -441,7 +442,7 @@ def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE, sha
     near = near.withColumn("near", F.lit(True))
     repeated = lines.select(*ID, "first", "n").join(near, ID, "left").filter("near OR n > 1")
     # written, so that the join reads shuffles on both sides and a line in very many places is split
-    repeated = saved(repeated.select(*ID, "first", F.coalesce("near", F.lit(False)).alias("near")))
+    repeated = saved_alone(repeated.select(*ID, "first", F.coalesce("near", F.lit(False)).alias("near")))
     found = _occurrences(docs, id_col, text_col).join(repeated, ID)
     found = found.withColumn("later", _place() > F.col("first")).filter("later OR near")
     return found.groupBy("doc_id", "k").agg(

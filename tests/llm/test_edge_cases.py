@@ -1,6 +1,10 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import glob
 import hashlib
+import os
+import tempfile
+import time
 import tracemalloc
 
 import numpy as np
@@ -9,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from replycast.llm import (
-    bpe, classifier, exact, langid, lines, merkle, mixing, packing, pii, quality_rules, resampling, simhash, substrings,
+    bpe, classifier, common, exact, langid, lines, merkle, mixing, packing, pii, quality_rules, resampling, simhash, substrings,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -193,3 +197,22 @@ def test_levels_of_near_lines_are_no_part_of_the_last_plan(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") <= 2 and plan.count("Generate") <= 0
     assert found.count() == 39
+
+
+def test_line_dedup_leaves_no_shuffle_files_of_its_steps(spark):
+    folders = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())
+
+    def files():
+        places = [f"{d}/{inner}blockmgr-*/*/shuffle_*.data" for d in folders.split(",") for inner in ("", "*/")]
+        return {f for place in places for f in glob.glob(place)}
+
+    line = "a line of words that is long enough"
+    docs = spark.createDataFrame([(i, f"{line} {i % 3}\n{line}s {i}") for i in range(30)], "doc_id long, text string")
+    before, setting = files(), spark.conf.get(common.FREED)
+    found = lines.removed_lines(docs, share=lines.SHARE)
+    for _ in range(50):  # executors delete them a little later
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(common.FREED) == setting
+    assert found.count() == found.count() > 0
