@@ -17,33 +17,42 @@ match are within it, and all lines with the same rest are one. With larger dista
 whose lines agree in all but a few characters, are paired and verified like the others.
 
 With `share`, a line also goes if an earlier one is within one edit of whole words for each `share` words of
-the longer of the two. Up to `CLASSES` edits these lines meet as above, by segments of words. Longer
-ones have a run of words in common: with k edits allowed, the longer one has `share` * k words or more, at
-most k of them edited, so the others lie in k + 1 runs at most. A line is entered under the least hash of
-the `GRAM`-word runs in each window of such a run, so two lines with such a run share a key. What meets is
-verified by its words.
+the longer of the two. These lines meet by their least common runs of `RUN` words: k edits change at most
+`RUN` * k of a line's runs, so of that many and one more, taken in the same order from both lines, one is
+common to both. A passage that many lines have is thus a key only of lines with little else. What meets is
+verified by its words, in large groups with the first lines first, until an earlier one is near.
 """
 
 from functools import reduce
 from uuid import uuid4
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .alike import checked_pairs
-from .common import saved_alone, shuffles_freed, words
+from . import alike
+from .common import saved, saved_alone, shuffles_freed, slices, travels, words  # noqa: F401 (tests use saved)
+from .ordering import placed
+
+travels(__name__)
 
 MIN_CHARS = 20
 DISTANCE = 1
 SECOND_SEED = 7
 #: Groups are paired if that gives at most this many pairs for each entry.
 FEW = 16
-#: Words for each word edit, and the edits up to which lines meet by segments.
+#: Words for each word edit.
 SHARE = 20
-CLASSES = 4
-#: Words of the runs that are hashed in longer lines.
-GRAM = 6
+#: Words of the runs by which lines meet; bits of the table of how common runs are; one line in so many is counted.
+RUN = 2
+BITS = 20
+EVERY = 8
+#: Earlier lines of a large group that are compared next, for each one compared before.
+BATCH = 4
 
 ID = ["h1", "h2"]
 
@@ -63,6 +72,14 @@ def _bucketed(df, columns):
     return table
 
 
+def _written(df):
+    """`df` as compressed files in the shared folder, so that it is computed once."""
+    path = f"{shared_dir(df.sparkSession)}/lines-{uuid4().hex}"
+    with shuffles_freed(df.sparkSession):
+        df.select("*").write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _hashes(column):
     return [F.xxhash64(column).alias("h1"), F.xxhash64(F.lit(SECOND_SEED), column).alias("h2")]
 
@@ -321,28 +338,6 @@ def near_earlier(lines, distance=DISTANCE):
     return found.distinct()
 
 
-def _keys(tokens, run):
-    """Least hash of the `GRAM`-word runs in each window of `run` words, each once, of an array of words."""
-
-    def joined(column, step, function):
-        return F.zip_with(column, F.slice(column, step + 1, F.size(column)), function)
-
-    def shortened(column, by):
-        return F.slice(column, 1, F.greatest(F.size(column) - by, F.lit(0)))
-
-    def over(column, size, function):
-        """`function` over each run of `size`: of runs half as long that may overlap."""
-        if size == 1:
-            return column
-        half = (size + 1) // 2
-        return _let(
-            over(column, half, function), lambda c: shortened(joined(c, size - half, function), size - half)
-        )
-
-    grams = over(F.transform(tokens, lambda w: F.xxhash64(w)), GRAM, lambda a, b: F.xxhash64(a, b))
-    return F.array_distinct(over(grams, run - GRAM + 1, lambda a, b: F.least(a, b)))
-
-
 def _as_characters(tokens):
     """A text with one character for each word, by 20 bits of a hash of the word."""
     points = F.transform(
@@ -351,29 +346,93 @@ def _as_characters(tokens):
     return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
 
 
+def _mixed(numbers):
+    """Unsigned 64-bit numbers with all bits mixed."""
+    for _ in range(2):
+        numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return numbers ^ (numbers >> np.uint64(32))
+
+
+def _runs(texts):
+    """Hashes of the `RUN`-word runs of an Arrow array of texts, and whose they are, ordered by both.
+
+    A run that a text has again gets another hash each time, so a text's hashes differ.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+    coded = pc.dictionary_encode(pc.list_flatten(parts))
+    of_words = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)
+    of_words = of_words[coded.indices.to_numpy()]
+    sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+    owners = np.repeat(np.arange(len(sizes)), sizes)
+    hashes, last = of_words, len(of_words)
+    for step in range(1, RUN):
+        hashes = _mixed(hashes[:-1]) + of_words[step:]
+        last -= 1
+    inside = owners[: max(last, 0)] == owners[RUN - 1 :]
+    hashes, owners = hashes[inside], owners[: max(last, 0)][inside]
+    order = np.lexsort((hashes, owners))
+    hashes, owners = hashes[order], owners[order]
+    places = np.arange(len(hashes))
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
+    again = places - np.maximum.accumulate(np.where(new, places, 0))
+    return _mixed(hashes + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), owners
+
+
+def _places(hashes):
+    """Places of hashes in the table of how common runs are."""
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _common(lines):
+    """How common runs are, in half powers of two, by the first bits of their hashes: one line in `EVERY` is counted.
+
+    It says which of a line's runs are looked up, not which lines are found.
+    """
+
+    def count(batches):
+        total = np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            for part in slices(batch):
+                total += np.bincount(_places(_runs(part.column(0))[0]), minlength=1 << BITS)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["place", "n"])
+
+    counted = lines.filter(F.pmod("id", F.lit(EVERY)) == 0).select("line").mapInArrow(count, "place long, n long")
+    levels = counted.groupBy("place").agg(F.floor(2 * F.log2(F.sum("n"))).cast("int").alias("level"))
+    found = levels.filter("level > 0").toArrow()  # at most a row for each of the table's places
+    table = np.zeros(1 << BITS, np.uint8)
+    table[found.column("place").to_numpy()] = found.column("level").to_numpy()
+    return table
+
+
 def _word_entries(lines, share):
-    """Entries (key, id, n) under which lines within the word edits of `share` meet.
+    """Entries (key, id, n) under which lines within the word edits of `share` meet: a line's least common runs.
 
-    With k edits allowed, up to `CLASSES` of them, segments of words by length and place, as for characters;
-    the longer line of a pair has the words for k edits, and the shorter one is indexed for it. Beyond
-    that, the runs of words that long lines have in common.
+    With k edits allowed, at most `RUN` * k of the runs of the one line are not among the other's. Both are entered
+    under one run more, the first ones in an order that is the same for all lines, so they share one of these. Of
+    the shorter one, too, k is at most the `share` - 1st part of its words.
     """
-    parts = []
-    for k in range(1, CLASSES + 1):
-        rows = lines.filter(F.col("n").between((share - 1) * k, share * (k + 1) - 1))
-        less = F.explode(F.sequence(F.lit(0), F.when(F.col("n") >= share * k, k).otherwise(0)))
-        rows = rows.select("id", "n", _as_characters(words(F.col("line"))).alias("rest"), less.alias("less"))
-        rows = rows.select(
-            "id", "n", "rest", F.lit(k).cast("long").alias("base"), (F.col("n") - F.col("less")).alias("l"),
-            (F.col("less") == 0).alias("role"),
-        )
-        parts.append(_entries(rows, k).select("key", "id", "n"))
-    run = (share - 1) * (CLASSES + 1) // (CLASSES + 2)
-    if run <= GRAM:
-        raise ValueError(f"share is too small for runs of {GRAM} words")
-    long = lines.filter(F.col("n") >= (share - 1) * (CLASSES + 1))
-    parts.append(long.select(F.explode(_keys(words(F.col("line")), run)).alias("key"), "id", "n"))
-    return reduce(DataFrame.unionByName, parts)
+    if share <= 2 * RUN:
+        raise ValueError(f"share is too small for runs of {RUN} words")
+    long = lines.filter(F.col("n") >= share - 1)
+    levels = lines.sparkSession.sparkContext.broadcast(_common(long))
+
+    def enter(batches):
+        for batch in batches:
+            for part in slices(batch):
+                hashes, owners = _runs(part.column(2))
+                order = np.lexsort((hashes, levels.value[_places(hashes)], owners))
+                hashes, owners = hashes[order], owners[order]
+                rank = np.arange(len(owners)) - np.searchsorted(owners, owners)
+                edits = part.column(1).to_numpy() // (share - 1)
+                taken = rank <= RUN * edits[owners]
+                keys, owners = pa.array(hashes[taken].view(np.int64)), pa.array(owners[taken])
+                yield pa.RecordBatch.from_arrays(
+                    [keys, part.column(0).take(owners), part.column(1).take(owners)], names=["key", "id", "n"]
+                )
+
+    return long.select("id", "n", "line").mapInArrow(enter, "key long, id long, n int")
 
 
 def _word_edits(a, b, edits):
@@ -389,39 +448,77 @@ def _word_edits(a, b, edits):
     return _let(both, lambda v: F.levenshtein(text(a, v), text(b, v)) <= edits)
 
 
-def near_earlier_by_words(lines, share=SHARE):
-    """Ids of the lines (h1, h2, line, first, id, n) with an earlier line within the word edits of `share`.
+def _checked_by_words(lines, wanted, share):
+    """A function that leaves of pairs (a_h1, a_h2, b_h1, b_h2) of `wanted` lines those within the word edits.
 
-    Candidates whose words differ by 20 bits of a hash already are left out; the others' words are compared.
+    Pairs whose words differ by 20 bits of a hash already are left out; the others' words are compared.
     """
-    names = lines.select("id", *ID, "first")
+    texts = lines.join(wanted.distinct(), ID, "left_semi")
+    texts = _bucketed(texts.select(*ID, "n", "line", _as_characters(words(F.col("line"))).alias("text")), ID)
+
+    def side(name, *columns):
+        return texts.select(*(F.col(c).alias(f"{name}_{c}") for c in (*ID, *columns)))
+
+    def brought(pairs, *columns):
+        for name in "ab":
+            pairs = pairs.join(side(name, *columns), [f"{name}_{c}" for c in ID])
+        return pairs.withColumn("edits", F.floor(F.greatest("a_n", "b_n") / share).cast("int"))
 
     def check(pairs):
-        for side in "ab":
-            ends = names.select(
-                F.col("id").alias(f"{side}1"), *(F.col(c).alias(f"{side}_{c}") for c in ID)
-            )
-            pairs = pairs.join(ends, f"{side}1")
-        for side in "ab":
-            ends = lines.select(
-                *(F.col(c).alias(f"{side}_{c}") for c in ID), words(F.col("line")).alias(f"{side}_words")
-            )
-            pairs = pairs.join(ends, [f"{side}_{c}" for c in ID])
-        edits = F.floor(F.greatest(F.size("a_words"), F.size("b_words")) / share).cast("int")
-        texts = {side: _as_characters(F.col(f"{side}_words")) for side in "ab"}
-        pairs = pairs.withColumns({"edits": edits, **texts}).filter("levenshtein(a, b, edits) >= 0")
-        pairs = pairs.filter(_word_edits(F.col("a_words"), F.col("b_words"), F.col("edits")))
-        return pairs.select("a1", "b1")
-
-    entries = _word_entries(lines, share)
-    pairs = checked_pairs(entries, check, 1 - 1 / share, names.select("id", "first"), ["id"])
-    for side in "ab":
-        ends = names.select(
-            F.col("id").alias(f"{side}1"), F.struct("first", *ID).alias(side)
+        ends = pairs.columns
+        near = brought(pairs, "n", "text").filter("levenshtein(a_text, b_text, edits) >= 0").select(*ends)
+        near = brought(saved_alone(near), "n", "line")
+        a, b = (words(F.col(f"{name}_line")) for name in "ab")
+        return near.filter(_word_edits(a, b, F.col("edits"))).select(*ends)
+
+    return check
+
+
+def near_earlier_by_words(lines, share=SHARE, settled=None):
+    """Ids of the lines (h1, h2, line, first, id, n) with an earlier line within the word edits of `share`.
+
+    Lines of `settled` are only compared as earlier ones. In a group of up to `alike.FEW` entries each line is
+    compared with all earlier ones. In a larger one it is compared with the first few, then with `BATCH` times
+    as many that follow, and so on, until it is near one: only lines with none are compared with all.
+    """
+    entries = _written(_word_entries(lines, share))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    groups = entries.join(sizes, "key").join(lines.select("id", "first", *ID), "id").drop("id")
+    groups = saved_alone(groups)
+
+    def met(later, earlier, place):
+        """Pairs of a line and an earlier one with the same key and about as many words."""
+        a, b = (
+            rows.select("key", *(F.col(c).alias(f"{name}_{c}") for c in (*ID, "n", place)))
+            for name, rows in (("a", earlier), ("b", later))
         )
-        pairs = pairs.join(ends, f"{side}1")
-    later = F.greatest("a", "b")
-    return pairs.select(later[ID[0]].alias(ID[0]), later[ID[1]].alias(ID[1])).distinct()
+        near_size = F.least("a_n", "b_n") >= (1 - 1 / share) * F.greatest("a_n", "b_n") - 1e-6
+        pairs = a.join(b, "key").filter(near_size & (F.col(f"a_{place}") < F.col(f"b_{place}")))
+        return pairs.select(*(f"{name}_{c}" for name in "ab" for c in ID)).distinct()
+
+    def unsettled(rows, found):
+        return rows if found is None else rows.join(found, ID, "left_anti")
+
+    few = groups.filter(F.col("size") <= alike.FEW)
+    pairs = saved_alone(met(unsettled(few, settled), few, "first"))
+    large = placed(groups.filter(F.col("size") > alike.FEW), ["first"], ["key"], name="rank")
+    large = saved_alone(large.select("key", "n", "rank", *ID))
+    wanted = [pairs.select(*(F.col(f"{name}_{c}").alias(c) for c in ID)) for name in "ab"]
+    check = _checked_by_words(lines, reduce(DataFrame.union, wanted, large.select(*ID)), share)
+
+    def later(pairs):
+        return saved_alone(check(pairs).select(*(F.col(f"b_{c}").alias(c) for c in ID)).distinct())
+
+    found = later(pairs)
+    left = unsettled(unsettled(large, settled), found)
+    start, stop = 0, alike.FEW
+    while True:
+        left = saved_alone(left.filter(F.col("rank") > start))
+        if left.isEmpty():
+            return found
+        more = later(saved_alone(met(left, large.filter(F.col("rank").between(start, stop - 1)), "rank")))
+        found, left = found.unionByName(more), unsettled(left, more)
+        start, stop = stop, stop * BATCH
 
 
 def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE, share=None):
@@ -437,8 +534,8 @@ def removed_lines(docs, id_col="doc_id", text_col="text", distance=DISTANCE, sha
     lines = _bucketed(lines, ID)
     near = near_earlier(lines, distance)
     if share is not None:
-        numbered = lines.drop("n").withColumnRenamed("n_words", "n")
-        near = near.unionByName(near_earlier_by_words(numbered, share)).distinct()
+        numbered, near = lines.drop("n").withColumnRenamed("n_words", "n"), saved_alone(near)
+        near = near.unionByName(near_earlier_by_words(numbered, share, near)).distinct()
     near = near.withColumn("near", F.lit(True))
     repeated = lines.select(*ID, "first", "n").join(near, ID, "left").filter("near OR n > 1")
     # written, so that the join reads shuffles on both sides and a line in very many places is split

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from replycast.llm import merkle, ordering, packing, resampling
+from replycast.llm import lines, merkle, ordering, packing, resampling
 
 DOCS = "doc_id long, source string, lang string, n_chars long, text string"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -315,3 +315,26 @@ def test_packed_ids_are_those_of_the_texts(spark):
     for r in rows:
         part = want[r["doc_id"]][r["start"] : r["start"] + r["length"]]
         assert np.frombuffer(r["ids"], "<u4").tolist() == part and r["doc_tokens"] == len(want[r["doc_id"]])
+
+
+def test_unlike_lines_with_a_common_passage_are_no_group(spark):
+    """A passage of 40 words in lines with 60 words of their own, and near copies with more edits than allowed."""
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    passage, copied = rng.choices(vocabulary, k=40), rng.choices(vocabulary, k=80)
+    rows = [" ".join(rng.choices(vocabulary, k=30) + passage + rng.choices(vocabulary, k=30)) for _ in range(150)]
+    for _ in range(150):
+        tokens = list(copied)
+        for at in rng.sample(range(80), 9):
+            tokens[at] = rng.choice(vocabulary)
+        rows.append(" ".join(tokens))
+    near = list(rows[7].split())
+    near[3] = "other"
+    rows.append(" ".join(near))
+    table = spark.createDataFrame([(i, r, i, len(r.split())) for i, r in enumerate(rows)], "id long, line string, first int, n int")
+    table = table.select("*", *lines._hashes(F.col("line"))).cache()
+    sizes = [r["count"] for r in lines._word_entries(table, lines.SHARE).groupBy("key").count().collect()]
+    assert sum(size * size for size in sizes) < 20 * len(rows)
+    found = lines.near_earlier_by_words(table)
+    assert [r["id"] for r in table.join(found, lines.ID).collect()] == [300]
+    table.unpersist()
