@@ -25,6 +25,7 @@ from itertools import chain
 from uuid import uuid4
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Window
@@ -50,7 +51,7 @@ SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)} | {32: 32}
 #: Bytes of text that are encoded at once.
 TOGETHER = 4 << 20
-#: Bytes that the words and ids a worker remembers may take.
+#: Bytes that the words and ids a worker remembers may take, their index aside.
 KNOWN = 32 << 20
 #: The program ends when its value is within this share of the bound, or after so many pivots.
 GAP = 1e-4
@@ -69,29 +70,52 @@ class Known:
     def clear(self):
         self.words = pa.array([], pa.string())
         self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        # hashes of the words in order, and the words' places
+        self.hashes, self.places_of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def _encoded(self, words):
         """Ids of each word. Plain ones are in lower case and one token group, so the merges alone are left."""
-        plain = pc.match_substring_regex(words, PLAIN)
-        group = " ".join(words.filter(plain).to_pylist()).encode().decode("latin-1").translate(BYTES)
-        merged = ([token.id for token in self.tokenizer.model.tokenize(word)] for word in group.split(" "))
-        for word, is_plain in zip(words.to_pylist(), plain.to_pylist()):
-            yield next(merged) if is_plain else self.tokenizer.encode(word, add_special_tokens=False).ids
+        model = self.tokenizer.model
+        for word, is_plain in zip(words.to_pylist(), pc.match_substring_regex(words, PLAIN).to_pylist()):
+            if not is_plain:
+                yield self.tokenizer.encode(word, add_special_tokens=False).ids
+                continue
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+            yield [token.id for token in model.tokenize(shown)]
+
+    def _found(self, words, hashes):
+        """Place of each word that is known, and whether it is: words are compared, not hashes alone."""
+        if not len(self.hashes):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        places = self.places_of[at]
+        same = pc.equal(self.words.take(pa.array(places)), words).to_numpy(zero_copy_only=False)
+        return places, same.astype(bool)
 
     def places(self, words):
         """Place of each of an array's words in the arrays."""
         if self.words.nbytes + self.ids.nbytes > KNOWN:
             self.clear()
-        found = pc.index_in(words, value_set=self.words)
-        if found.null_count:
-            new = pc.unique(words.filter(pc.is_null(found)))
-            ids = list(self._encoded(new))
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            ids = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-            self.words = pa.concat_arrays([self.words, new])
-            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
-            found = pc.index_in(words, value_set=self.words)
-        return found.to_numpy().astype(np.int64)
+        hashes = pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
+        places, known = self._found(words, hashes)
+        if known.all():
+            return places
+        # of words with one hash the first is looked up; another one is met as a new one each time
+        missing = words.filter(pa.array(~known))
+        new = pc.unique(missing)
+        ids = list(self._encoded(new))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        ids = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        new_places = len(self.words) + np.arange(len(new))
+        places[~known] = new_places[pc.index_in(missing, value_set=new).to_numpy()]
+        self.words = pa.concat_arrays([self.words, new])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        hashes = pd.util.hash_array(new.to_numpy(zero_copy_only=False), categorize=False)
+        order = np.argsort(hashes, kind="stable")
+        at = np.searchsorted(self.hashes, hashes[order], side="right")
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.places_of = np.insert(self.places_of, at, new_places[order])
+        return places
 
 
 def _known(path):

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -338,3 +339,24 @@ def test_unlike_lines_with_a_common_passage_are_no_group(spark):
     found = lines.near_earlier_by_words(table)
     assert [r["id"] for r in table.join(found, lines.ID).collect()] == [300]
     table.unpersist()
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_known_words_are_looked_up_and_not_hashed_again(monkeypatch, collide):
+    """New words cost what they are, however many are known; also if all words have one hash."""
+    path, sizes, index_in = public_tokenizers.path("word_bpe_49k.json"), [], packing.pc.index_in
+
+    def counted(values, value_set):
+        sizes.append(len(value_set))
+        return index_in(values, value_set=value_set)
+
+    monkeypatch.setattr(packing.pc, "index_in", counted)
+    if collide:
+        monkeypatch.setattr(packing.pd.util, "hash_array", lambda v, **_: np.zeros(len(v), np.uint64))
+    known, tokenizer = packing.Known(path), Tokenizer.from_file(path)
+    texts = [" ".join(f"wörd{chr(97 + i % 26)}{chr(97 + i // 26)}x A{i}, über" for i in range(300)), "the end", "a new one. The end"]
+    for text in texts:
+        ids, taken = packing.encode_texts(pa.array([text, None, text]), known)
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+        assert ids.tolist() == [*want, packing.END, *want] and taken.tolist() == [len(want), 1, len(want)]
+    assert max(sizes[1:]) < 10
