@@ -26,20 +26,14 @@ verified by its words, in large groups with the first lines first, until an earl
 from functools import reduce
 from uuid import uuid4
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from . import alike
-from .common import saved, saved_alone, shuffles_freed, slices, travels, words  # noqa: F401 (tests use saved)
+from .common import saved, saved_alone, shuffles_freed, words  # noqa: F401 (tests use saved)
 from .ordering import placed
 
-travels(__name__)
-
 MIN_CHARS = 20
 DISTANCE = 1
 SECOND_SEED = 7
@@ -47,9 +41,11 @@ SECOND_SEED = 7
 FEW = 16
 #: Words for each word edit.
 SHARE = 20
-#: Words of the runs by which lines meet; bits of the table of how common runs are; one line in so many is counted.
+#: Words of the runs by which lines meet.
 RUN = 2
-BITS = 20
+#: Runs that are known as common, bits of their table, and one line in so many is counted for it.
+COMMON = 1 << 17
+BITS = 19
 EVERY = 8
 #: Earlier lines of a large group that are compared next, for each one compared before.
 BATCH = 4
@@ -346,93 +342,51 @@ def _as_characters(tokens):
     return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
 
 
-def _mixed(numbers):
-    """Unsigned 64-bit numbers with all bits mixed."""
-    for _ in range(2):
-        numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return numbers ^ (numbers >> np.uint64(32))
-
+def _runs(line):
+    """Hashes of the different two-word runs of a line."""
 
-def _runs(texts):
-    """Hashes of the `RUN`-word runs of an Arrow array of texts, and whose they are, ordered by both.
+    def paired(hashes):
+        following = F.slice(hashes, 2, F.size(hashes))
+        pairs = F.zip_with(hashes, following, lambda a, b: F.xxhash64(a, b))
+        return F.array_distinct(F.slice(pairs, 1, F.greatest(F.size(hashes) - 1, F.lit(0))))
 
-    A run that a text has again gets another hash each time, so a text's hashes differ.
-    """
-    parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
-    coded = pc.dictionary_encode(pc.list_flatten(parts))
-    of_words = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)
-    of_words = of_words[coded.indices.to_numpy()]
-    sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-    owners = np.repeat(np.arange(len(sizes)), sizes)
-    hashes, last = of_words, len(of_words)
-    for step in range(1, RUN):
-        hashes = _mixed(hashes[:-1]) + of_words[step:]
-        last -= 1
-    inside = owners[: max(last, 0)] == owners[RUN - 1 :]
-    hashes, owners = hashes[inside], owners[: max(last, 0)][inside]
-    order = np.lexsort((hashes, owners))
-    hashes, owners = hashes[order], owners[order]
-    places = np.arange(len(hashes))
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
-    again = places - np.maximum.accumulate(np.where(new, places, 0))
-    return _mixed(hashes + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), owners
-
-
-def _places(hashes):
-    """Places of hashes in the table of how common runs are."""
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    return _let(F.transform(words(line), lambda w: F.xxhash64(w)), paired)
 
 
 def _common(lines):
-    """How common runs are, in half powers of two, by the first bits of their hashes: one line in `EVERY` is counted.
+    """How common the `COMMON` most frequent runs are, in half powers of two, by the last bits of their hashes.
 
-    It says which of a line's runs are looked up, not which lines are found.
+    One line in `EVERY` is counted. It says which of a line's runs are looked up, not which lines are found.
     """
-
-    def count(batches):
-        total = np.zeros(1 << BITS, np.int64)
-        for batch in batches:
-            for part in slices(batch):
-                total += np.bincount(_places(_runs(part.column(0))[0]), minlength=1 << BITS)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["place", "n"])
-
-    counted = lines.filter(F.pmod("id", F.lit(EVERY)) == 0).select("line").mapInArrow(count, "place long, n long")
-    levels = counted.groupBy("place").agg(F.floor(2 * F.log2(F.sum("n"))).cast("int").alias("level"))
-    found = levels.filter("level > 0").toArrow()  # at most a row for each of the table's places
-    table = np.zeros(1 << BITS, np.uint8)
-    table[found.column("place").to_numpy()] = found.column("level").to_numpy()
-    return table
+    runs = lines.filter(F.pmod("id", F.lit(EVERY)) == 0).select(F.explode(_runs(F.col("line"))).alias("run"))
+    counted = runs.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1")
+    counted = counted.orderBy(F.desc("n"), "run").limit(COMMON)
+    table = bytearray(1 << BITS)
+    for run, level in counted.select("run", F.floor(2 * F.log2("n")).cast("int")).collect():  # at most COMMON
+        place = run & ((1 << BITS) - 1)
+        table[place] = max(table[place], level)
+    return F.lit(bytes(table))
 
 
 def _word_entries(lines, share):
     """Entries (key, id, n) under which lines within the word edits of `share` meet: a line's least common runs.
 
-    With k edits allowed, at most `RUN` * k of the runs of the one line are not among the other's. Both are entered
-    under one run more, the first ones in an order that is the same for all lines, so they share one of these. Of
-    the shorter one, too, k is at most the `share` - 1st part of its words.
+    k edits change at most `RUN` * k of a line's different runs, and not all of them. Of both lines that many and
+    one more are entered, the first in an order that is the same for all lines, or all if there are fewer; so one
+    is common to both. Of the shorter one, too, k is at most the `share` - 1st part of its words.
     """
     if share <= 2 * RUN:
         raise ValueError(f"share is too small for runs of {RUN} words")
     long = lines.filter(F.col("n") >= share - 1)
-    levels = lines.sparkSession.sparkContext.broadcast(_common(long))
-
-    def enter(batches):
-        for batch in batches:
-            for part in slices(batch):
-                hashes, owners = _runs(part.column(2))
-                order = np.lexsort((hashes, levels.value[_places(hashes)], owners))
-                hashes, owners = hashes[order], owners[order]
-                rank = np.arange(len(owners)) - np.searchsorted(owners, owners)
-                edits = part.column(1).to_numpy() // (share - 1)
-                taken = rank <= RUN * edits[owners]
-                keys, owners = pa.array(hashes[taken].view(np.int64)), pa.array(owners[taken])
-                yield pa.RecordBatch.from_arrays(
-                    [keys, part.column(0).take(owners), part.column(1).take(owners)], names=["key", "id", "n"]
-                )
-
-    return long.select("id", "n", "line").mapInArrow(enter, "key long, id long, n int")
+    table = _common(long)
+
+    def ranked(run):
+        place = run.bitwiseAND(F.lit((1 << BITS) - 1).cast("long")).cast("int") + 1
+        return F.struct(F.substring(table, place, F.lit(1)).alias("level"), run.alias("key"))
+
+    runs = F.array_sort(F.transform(_runs(F.col("line")), ranked))
+    taken = F.slice(runs, 1, (RUN * F.floor(F.col("n") / (share - 1)) + 1).cast("int"))
+    return long.select("id", "n", F.explode(taken).alias("run")).select("run.key", "id", "n")
 
 
 def _word_edits(a, b, edits):
