@@ -1,13 +1,17 @@
 """The derived tables: written when asked for, without texts, which no shuffle carries either."""
 
+import glob
 import os
 import re
+import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import registry, views
-from replycast.plans import scoring
+from replycast import session
+from replycast.plans import features, scoring
 from replycast.sources import dump
 
 SMALL = "/root/testdata/sf0.001"
@@ -124,3 +128,39 @@ def test_indexed_lookup_reads_the_texts_once_for_all_its_lookups(spark, monkeypa
     found = registry.indexed_lookup(spark, SMALL)
     plans = [keys._jdf.queryExecution().optimizedPlan().toString() for keys in read]
     assert len(plans) == 2 and not any("from_json" in p for p in plans) and found.count() > 0
+
+
+def _shuffle_files(spark):
+    folders = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    places = [f"{d}/{inner}blockmgr-*/*/shuffle_*.data" for d in folders.split(",") for inner in ("", "*/")]
+    return {f for place in places for f in glob.glob(place)}
+
+
+def _settled(spark, before):
+    for _ in range(50):  # executors delete them a little later
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    return _shuffle_files(spark) - before
+
+
+def test_a_derived_table_leaves_no_shuffle_files(spark):
+    views._written.cache_clear()
+    before, setting = _shuffle_files(spark), spark.conf.get(session.FREED)
+    assert views.tables(spark, SMALL)("votes").columns
+    assert not _settled(spark, before) and spark.conf.get(session.FREED) == setting
+
+
+def test_narrow_tables_of_the_training_table_are_written_one_by_one(spark, monkeypatch):
+    seen = []
+
+    def written(df, name):
+        seen.append((name, _shuffle_files(spark)))
+        df = session.written(df, name)
+        assert not _settled(spark, seen[-1][1])
+        return df
+
+    monkeypatch.setattr(features, "written", written)
+    table = registry.model_data(spark, SMALL)
+    assert [name for name, _ in seen] == ["status", "history", "tags", "answers", "scores"]
+    assert "Window" not in table._jdf.queryExecution().optimizedPlan().toString()
