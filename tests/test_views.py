@@ -164,3 +164,14 @@ def test_narrow_tables_of_the_training_table_are_written_one_by_one(spark, monke
     table = registry.model_data(spark, SMALL)
     assert [name for name, _ in seen] == ["status", "history", "tags", "answers", "scores"]
     assert "Window" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_score_requests_reads_the_texts_once(spark, monkeypatch):
+    seen, narrow = [], scoring.narrow_requests
+    monkeypatch.setattr(scoring, "narrow_requests", lambda requests: seen.append(requests) or narrow(requests))
+    monkeypatch.setattr(scoring, "score", lambda model, features: features.withColumn("probability", F.lit(0.5)))
+    asked = scoring.parse_requests(registry.requests(spark, SMALL))
+    scored = scoring.score_requests(asked, *registry._snapshots(spark, SMALL), None, registry.FIXTURE_FORUMS)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (*seen, scored)]
+    assert len(plans) == 2 and not any("from_json" in p or "postBody" in p for p in plans)
+    assert scored.count() == asked.count()
